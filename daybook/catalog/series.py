@@ -234,15 +234,12 @@ def volume_ewma_nonzero(t):
     round(sum(m.value) FILTER (WHERE m.event_type = 'purchase'), 6) AS purchase_sum
     FROM w LEFT JOIN events m ON m.user_id = w.user_id AND m.ts BETWEEN w.s AND w.e GROUP BY 1, 2""")
 def interval_enrich(t):
-    events = t.events.select("user_id", "event_type", F.col("ts").alias("start"), "value")
-    kinds = {
-        f"{kind}_{how}": (events.where(F.col("event_type") == kind), agg)
-        for kind, how, agg in (("click", "mean", "avg"), ("view", "sum", "sum"), ("purchase", "sum", "sum"))
-    }
+    wanted = {"click_mean": ("click", "avg"), "view_sum": ("view", "sum"), "purchase_sum": ("purchase", "sum")}
     signups = t.events.where(F.col("event_type") == "signup").select(
         "user_id", "event_id", F.col("ts").alias("start"), (F.col("ts") + F.expr("interval 1 hour")).alias("end"))
-    rows = joins.enrich_intervals(signups, kinds, ["user_id"], m_end=None)
-    return rows.select("user_id", "event_id", *[approx(k) if k == "click_mean" else rounded(k) for k in kinds])
+    events = t.events.select("user_id", "event_type", F.col("ts").alias("start"), "value")
+    rows = joins.enrich_intervals(signups, events, wanted, ["user_id"], m_end=None, kind="event_type")
+    return rows.select("user_id", "event_id", approx("click_mean"), rounded("view_sum"), rounded("purchase_sum"))
 
 
 @query(f"""WITH w AS (SELECT user_id, event_id, ts AS s, ts + to_minutes(30 + CAST(floor(value) AS INTEGER)) AS e
@@ -257,14 +254,11 @@ def interval_enrich_spans(t):
             "end", F.col("ts") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)")))
 
     spans = lasting(t.events, F.floor(F.col("value") * 60)).select("user_id", "event_type", "start", "end", "value")
-    kinds = {
-        "click_mean": (spans.where(F.col("event_type") == "click"), "avg"),
-        "view_sum": (spans.where(F.col("event_type") == "view"), "sum"),
-    }
     chosen = t.events.where(F.col("event_type").isin("signup", "error"))
     intervals = lasting(chosen, (F.floor("value") + 30) * 60).select("user_id", "event_id", "start", "end")
-    rows = joins.enrich_intervals(intervals, kinds, ["user_id"])
-    return rows.select("user_id", "event_id", *[approx(k) if k == "click_mean" else rounded(k) for k in kinds])
+    wanted = {"click_mean": ("click", "avg"), "view_sum": ("view", "sum")}
+    rows = joins.enrich_intervals(intervals, spans, wanted, ["user_id"], kind="event_type")
+    return rows.select("user_id", "event_id", approx("click_mean"), rounded("view_sum"))
 
 
 @query("""WITH m AS (SELECT max(event_id) AS m FROM events)

@@ -29,6 +29,13 @@ WORKOUT_TYPES = SOCCER_TYPES + OTHER_WORKOUT_TYPES
 # Workout types whose energy counts beside lifting volume.
 ENERGY_WORKOUT_TYPES = ("Soccer", "Running", "Hiking", "StairClimbing")
 
+# Column of an enriched workout -> (measurement, how it is combined).
+WORKOUT_MEASURES = {
+    "hr_mean": ("HeartRate", "avg"),
+    "total_energy_burned": ("ActiveEnergyBurned", "sum"),
+    "total_distance": ("DistanceWalkingRunning", "sum"),
+}
+
 # Exercises that lift the body's own weight.
 UNWEIGHTED_EXERCISES = (
     "Chin Up",

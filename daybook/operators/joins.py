@@ -6,8 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-# name -> (measurements, "avg" | "sum")
-Measures = Mapping[str, tuple[DataFrame, str]]
+# output column -> (kind of measurement, "avg" | "sum")
+Wanted = Mapping[str, tuple[str, str]]
 
 
 def classify(df: DataFrame, classes: DataFrame, series: str = "exercise_name",
@@ -22,14 +22,23 @@ def classify(df: DataFrame, classes: DataFrame, series: str = "exercise_name",
     return df.join(classes, series, "left")
 
 
-def full_outer_daily(a: DataFrame, b: DataFrame, on: Sequence[str], fill: Mapping[str, float]) -> DataFrame:
-    return a.join(b, list(on), "full").fillna(dict(fill))
+def full_outer_daily(days: DataFrame, rows: DataFrame, on: Sequence[str], fill: Mapping[str, float]) -> DataFrame:
+    """Full outer join of ``days`` (one row per ``on``) with ``rows``; NULLs of ``fill`` filled.
+
+    Written as a left join from the many rows plus the days without any: a small ``days``
+    can then be broadcast and the rows stay where they are, and a hot day can be split,
+    neither of which Spark can do for a full outer join.
+    """
+    on = list(on)
+    matched = rows.join(days, on, "left")
+    alone = days.join(rows.select(*on).distinct(), on, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True).fillna(dict(fill))
 
 
-def enrich_intervals(intervals: DataFrame, measures: Measures, keys: Sequence[str] = (),
-                     start: str = "start", end: str = "end", m_start: str = "start",
-                     m_end: str | None = "end", value: str = "value",
-                     bucket_seconds: int = 3600) -> DataFrame:
+def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Wanted,
+                     keys: Sequence[str] = (), start: str = "start", end: str = "end",
+                     m_start: str = "start", m_end: str | None = "end", kind: str = "type",
+                     value: str = "value", bucket_seconds: int = 86_400) -> DataFrame:
     """Average or sum of the measurements lying inside each interval; NULL where none do.
 
     A measurement lies inside when it starts at or after the interval's start and ends at or
@@ -41,79 +50,65 @@ def enrich_intervals(intervals: DataFrame, measures: Measures, keys: Sequence[st
     The first two are running totals read off at the interval's two edges; the third is
     empty unless a measurement spans a whole interval, and is a join on those rare ones.
     Running totals are taken inside (key, time bucket) groups and carried between buckets,
-    so neither a busy key nor overlapping intervals multiply rows.  ``m_end=None`` declares
-    instantaneous measurements, for which the third term is always empty.
+    so neither a busy key nor overlapping intervals multiply rows; a task sorts one key's
+    rows of one bucket (a day by default) at a time.  ``m_end=None`` declares instantaneous
+    measurements, for which the third term is always empty.
     """
-    names = list(measures)
-    cols = intervals.columns
-    totals = [f"_{kind}_{i}" for i in range(len(names)) for kind in ("x", "n", "r")]
-
+    two = m_end is not None
     zoneless = intervals.schema[start].dataType.typeName() == "timestamp_ntz"
 
     def bucket_of(ts: Column) -> Column:
-        return F.floor(_seconds(ts, zoneless) / bucket_seconds).cast("bigint")
-
-    # One wide table of measurements: per kind its value, its non-NULL count, its row count.
-    wide = None
-    for i, name in enumerate(names):
-        df = measures[name][0]
-        v = F.col(value).cast("double")
-        own = {f"_x_{i}": F.coalesce(v, F.lit(0.0)), f"_n_{i}": v.isNotNull().cast("bigint"),
-               f"_r_{i}": F.lit(1).cast("bigint")}
-        part = df.select(
-            *keys, F.col(m_start).alias("_ms"), F.col(m_end or m_start).alias("_me"),
-            *[own.get(t, F.lit(0.0 if t.startswith("_x") else 0).cast(
-                "double" if t.startswith("_x") else "bigint")).alias(t) for t in totals],
-        )
-        part = part.where(F.col("_ms").isNotNull() & F.col("_me").isNotNull())
-        wide = part if wide is None else wide.unionByName(part)
+        return F.floor(_seconds(ts, zoneless, whole=True) / bucket_seconds)
+
+    # Per kind: summed value (x), non-NULL values (n), rows (r).
+    v = F.col(value).cast("double")
+    kinds = list(dict.fromkeys(k for k, _ in wanted.values()))
+    totals: dict[str, Column] = {}
+    for i, k in enumerate(kinds):
+        mine = F.col(kind) == k
+        totals[f"_x_{i}"] = F.when(mine & v.isNotNull(), v).otherwise(0.0)
+        totals[f"_n_{i}"] = (mine & v.isNotNull()).cast("bigint")
+        totals[f"_r_{i}"] = mine.cast("bigint")
+    wide = (
+        measurements.where(F.col(kind).isin(kinds))
+        .select(*keys, F.col(m_start).alias("_ms"), F.col(m_end or m_start).alias("_me"),
+                *[c.alias(t) for t, c in totals.items()])
+        .where(F.col("_ms").isNotNull() & F.col("_me").isNotNull())
+    )
+    zeros = [F.lit(0).cast("double" if t.startswith("_x") else "bigint").alias(t) for t in totals]
+    packed = intervals.select("*", F.struct(*[F.col(f"`{c}`").alias(c) for c in intervals.columns]).alias("_iv"))
 
     # Timelines: side 1 orders measurements by their end, side 0 by their start.  Where both
     # are the same instant, one timeline serves both edges.
-    iv = F.struct(*[F.col(f"`{c}`").alias(c) for c in cols]).alias("_iv")
-    two = m_end is not None
-    sides = F.array(*([F.struct(F.lit(0).alias("_side"), F.col("_ms").alias("_t"))] if two else []),
-                    F.struct(F.lit(1).alias("_side"), F.col("_me").alias("_t")))
+    def at(side: int, ts: str, **more: int) -> Column:
+        return F.struct(F.lit(side).alias("_side"), F.col(ts).alias("_t"),
+                        *[F.lit(x).alias(n) for n, x in more.items()])
+
+    sides = [at(1, "_me")] + ([at(0, "_ms")] if two else [])
     points = wide.select(
-        *keys, F.lit(1).alias("_ord"), F.lit(0).alias("_sign"), *totals, F.inline(sides)
-    ).withColumn("_iv", F.lit(None).cast(intervals.select(iv).schema[0].dataType))
+        *keys, F.lit(None).cast(packed.schema["_iv"].dataType).alias("_iv"), F.lit(1).alias("_ord"),
+        F.lit(0).alias("_sign"), *totals, F.inline(F.array(*sides)))
     # An interval's start reads the total before its instant, its end the total after it.
-    edge = F.array(
-        F.struct(F.lit(0 if two else 1).alias("_side"), F.col(start).alias("_t"),
-                 F.lit(0).alias("_ord"), F.lit(-1).alias("_sign")),
-        F.struct(F.lit(1).alias("_side"), F.col(end).alias("_t"),
-                 F.lit(2).alias("_ord"), F.lit(1).alias("_sign")),
-    )
-    edges = intervals.select("*", iv).select(
-        *keys, "_iv", F.inline(edge),
-        *[F.lit(0).cast("double" if t.startswith("_x") else "bigint").alias(t) for t in totals],
-    )
+    edge = F.array(at(0 if two else 1, start, _ord=0, _sign=-1), at(1, end, _ord=2, _sign=1))
+    edges = packed.select(*keys, "_iv", F.inline(edge), *zeros)
     line = points.unionByName(edges).withColumn("_bucket", bucket_of(F.col("_t")))
+
     group = [*keys, "_side", "_bucket"]
     inside = W.partitionBy(*group).orderBy("_t", "_ord").rowsBetween(W.unboundedPreceding, 0)
     running = line.select(
-        *group, "_ord", "_sign", "_iv", *[F.sum(t).over(inside).alias(t) for t in totals]
+        *group, "_sign", "_iv", *[F.sum(t).over(inside).alias(t) for t in totals]
     ).where("_sign != 0")
-
-    per_bucket = (
-        points.withColumn("_bucket", bucket_of(F.col("_t")))
-        .groupBy(*group).agg(*[F.sum(t).alias(t) for t in totals])
-    )
-    # Every bucket holding an edge needs a carry, also one without measurements.
-    marks = edges.withColumn("_bucket", bucket_of(F.col("_t"))).select(*group).distinct()
-    zero = [F.lit(0).cast("double" if t.startswith("_x") else "bigint").alias(t) for t in totals]
     earlier = W.partitionBy(*keys, "_side").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     carry = (
-        per_bucket.unionByName(marks.select(*group, *zero))
-        .groupBy(*group).agg(*[F.sum(t).alias(t) for t in totals])
-        .select(*group, *[F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias(f"_c{t}") for t in totals])
+        line.groupBy(*group).agg(*[F.sum(t).alias(t) for t in totals])
+        .select(*group, *[F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias("_c" + t) for t in totals])
     )
     read = running.join(carry, group, "left").select(
         "_iv", (F.col("_sign") < 0).cast("int").alias("_copies"),
-        *[(F.col("_sign") * (F.col(t) + F.col(f"_c{t}"))).alias(t) for t in totals],
+        *[(F.col("_sign") * (F.col(t) + F.col("_c" + t))).alias(t) for t in totals],
     )
     if two:
-        spanning = _spanning(intervals, wide, keys, start, end, iv, totals, bucket_of, zoneless)
+        spanning = _spanning(packed, wide, keys, start, end, list(totals), bucket_of, zoneless)
         read = read.unionByName(spanning.withColumn("_copies", F.lit(0)))
 
     # Equal interval rows fall into one group: their totals are shared out and the rows
@@ -128,23 +123,23 @@ def enrich_intervals(intervals: DataFrame, measures: Measures, keys: Sequence[st
                 *[F.when(usable, F.col(t) / F.col("_copies")).alias(t) for t in totals])
     )
     out = []
-    for i, name in enumerate(names):
-        x, n, r = (F.col(f"_{k}_{i}") for k in "xnr")
-        if measures[name][1] == "avg":
+    for name, (k, how) in wanted.items():
+        x, n, r = (F.col(f"_{c}_{kinds.index(k)}") for c in "xnr")
+        if how == "avg":
             out.append(F.when(n > 0, x / n).alias(name))
         else:
             out.append(F.when((r > 0) & (n == 0), F.lit(0.0)).when(n > 0, x).alias(name))
     return sums.select("_iv.*", *out)
 
 
-def _spanning(intervals, wide, keys, start, end, iv, totals, bucket_of, zoneless) -> DataFrame:
+def _spanning(packed, wide, keys, start, end, totals, bucket_of, zoneless) -> DataFrame:
     """Totals of measurements that start before and end after an interval.
 
     Only measurements longer than the shortest interval starting in a bucket they cover
     take part; that test is an equi-join with one row per bucket.
     """
     length = _seconds(F.col(end), zoneless) - _seconds(F.col(start), zoneless)
-    spans = intervals.select("*", iv).select(
+    spans = packed.select(
         *keys, bucket_of(F.col(start)).alias("_bucket"), F.col(start).alias("_s"),
         F.col(end).alias("_e"), length.alias("_len"), "_iv",
     )
@@ -160,9 +155,9 @@ def _spanning(intervals, wide, keys, start, end, iv, totals, bucket_of, zoneless
     return able.join(spans, on).where(hit).select("_iv", *totals)
 
 
-def _seconds(ts: Column, zoneless: bool) -> Column:
-    """Seconds with their fraction, increasing with ``ts`` in every session time zone."""
+def _seconds(ts: Column, zoneless: bool, whole: bool = False) -> Column:
+    """Seconds, increasing with ``ts`` in every session time zone."""
     if not zoneless:
-        return F.unix_micros(ts) / 1_000_000
-    second = F.date_part(F.lit("SECOND"), ts).cast("double")
-    return F.unix_date(F.to_date(ts)) * 86_400.0 + F.hour(ts) * 3600 + F.minute(ts) * 60 + second
+        return F.unix_seconds(ts) if whole else F.unix_micros(ts) / 1_000_000
+    second = F.second(ts) if whole else F.date_part(F.lit("SECOND"), ts).cast("double")
+    return F.unix_date(F.to_date(ts)).cast("bigint") * 86_400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + second

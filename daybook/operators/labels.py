@@ -14,11 +14,19 @@ from daybook.operators.stats import mode_or_unclear
 ANSWER_SCHEMA = "array<struct<exercise_name: string, muscle_groups: string, match_score: int>>"
 
 
+_SPECIAL = set("\\.^$*+?{}[]|()")
+
+
 def ordered_rules(text: Column, default: Column, rules: Sequence[tuple[str, float]],
                   regex: bool = True) -> Column:
-    """Score of the last rule found in ``text``, else ``default``; NULL text matches nothing."""
+    """Score of the last rule found in ``text``, else ``default``; NULL text matches nothing.
+
+    Rules are tried from the last one on, and only until one matches.  A pattern without
+    special characters is looked for as plain text.
+    """
     hits = [
-        F.when(text.rlike(p) if regex else text.contains(p), F.lit(score)) for p, score in rules
+        F.when(text.rlike(p) if regex and _SPECIAL & set(p) else text.contains(p), F.lit(score))
+        for p, score in rules
     ]
     return F.coalesce(*reversed(hits), default)
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from daybook.functions.dates import day_number
+from daybook.operators.settle import settle
 
 
 def series_maxima(df: DataFrame, value: str, series: Sequence[str], spans: Mapping[str, int | None],
@@ -28,10 +29,15 @@ def series_maxima(df: DataFrame, value: str, series: Sequence[str], spans: Mappi
 
 def with_series_maxima(df: DataFrame, value: str, series: Sequence[str],
                        spans: Mapping[str, int | None], date: str = "date",
-                       daily_max: str | None = None) -> DataFrame:
-    """Rows with the maxima of their series as of their day (same-day rows included)."""
-    days = series_maxima(df, value, series, spans, date)
-    days = days.withColumnRenamed("daily_max", daily_max) if daily_max else days.drop("daily_max")
+                       settle_in: str | None = None) -> DataFrame:
+    """Rows with the maxima of their series as of their day (same-day rows included).
+
+    With ``settle_in``, a shared folder, the daily maxima are written there first (a job of
+    its own), so that many rows of few series join by broadcast and are not shuffled at all.
+    """
+    days = series_maxima(df, value, series, spans, date).drop("daily_max")
+    if settle_in:
+        days = settle(days, "series-maxima", settle_in)
     return df.join(days, [*series, date], "left")
 
 

@@ -11,13 +11,17 @@ from daybook.functions.dates import DateLike
 from daybook.plans.diary import diary_counters, diary_scores, diary_wide
 from daybook.plans.measurements import clean_measurements, daily_weight, select_workouts
 from daybook.plans.strength import clean_sets, daily_volume, strength_metrics
+from daybook.session import shared_folder
 from daybook.sources.bundles import load_diary_export, load_health_export
 from daybook.sources.csvs import read_strength_log
 
 
 @dataclass(frozen=True)
 class Exports:
-    """Where the three exports are; ``staging`` is where archives are unpacked."""
+    """Where the three exports are.
+
+    ``staging`` is a folder all executors can reach, by default the one the session names.
+    """
 
     health: str
     strength_log: str
@@ -28,15 +32,13 @@ class Exports:
 
 def build_all(spark: SparkSession, exports: Exports, as_of: DateLike) -> dict[str, DataFrame]:
     """The six result tables.  The diary is cached, as two of them read it."""
-    stage = exports.staging
-    records, workouts = load_health_export(
-        spark, exports.health, f"{stage}/health" if stage else None, require_rows=True
-    )
-    diary = load_diary_export(spark, exports.diary, f"{stage}/diary" if stage else None)
+    stage = exports.staging or shared_folder(spark)
+    records, workouts = load_health_export(spark, exports.health, f"{stage}/health", require_rows=True)
+    diary = load_diary_export(spark, exports.diary, f"{stage}/diary")
     sets = clean_sets(read_strength_log(spark, exports.strength_log))
 
     weight = daily_weight(clean_measurements(records), as_of, order=["enddate"])
-    strength = strength_metrics(sets, weight)
+    strength = strength_metrics(sets, weight, settle_in=stage)
     wide = diary_wide(*diary, as_of=as_of).cache()
     return {
         "non_weightlifting_exercise": select_workouts(workouts),

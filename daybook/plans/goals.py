@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from daybook import config
 from daybook.functions.dates import date_lit, in_year, sunday_week
 from daybook.functions.numeric import goal_fraction
-from daybook.operators.windows import number_by_day, running_sum, series_maxima
+from daybook.operators.windows import number_by_day, running_sum
 from daybook.sources.literal import literal_table
 
 
@@ -44,22 +44,39 @@ def goal_progress_max(df: DataFrame, goals: Mapping[str, float] = config.MAX_GOA
                       keys: Sequence[str] = ()) -> DataFrame:
     """How far from its baseline to its goal each series has come, on each day's best rows.
 
-    Without a baseline there is no progress to speak of: NULL.
+    The baseline, the best since ``since``, stands as a row of January 1st.  Without one
+    there is no progress to speak of: NULL.  One scan: rows are counted per series, day and
+    value, and only each day's best value with its count goes on.
     """
-    mine = df.where(F.col(series).isin(list(goals))).select(*keys, series, "date", value)
-    baseline = baseline_max(mine, since, _start(year), series, value, keys)
-    january = baseline.select(*keys, series, _start(year).alias("date"), F.col("baseline").alias(value))
-    rows = mine.where(in_year(F.col("date"), year)).unionByName(january)
-    days = series_maxima(rows, value, [*keys, series], {"cummax": None})
-    best = rows.join(days, [*keys, series, "date"]).where(F.col(value) >= F.col("daily_max"))
-    targets = literal_table(df.sparkSession, [series, "goal"], [(n, float(g)) for n, g in goals.items()])
-    return (
-        best.join(baseline, [*keys, series], "left").join(targets, series, "left")
-        .select(
-            *keys, series, "date", value, "baseline", "cummax", "goal",
-            goal_fraction(F.col("cummax"), F.col("goal"), F.col("baseline")).alias("progress"),
-        )
+    until = dt.date(year + 1, 1, 1)
+    first = _start(year)
+    span = (F.col("date") >= date_lit(since)) & (F.col("date") < date_lit(until))
+    mine = df.where(F.col(series).isin(list(goals)) & span)
+    group = [*keys, series]
+    is_base = F.col("date") < first
+    counts = mine.groupBy(
+        *group, is_base.alias("_base"), F.greatest(F.col("date"), first).alias("date"), F.col(value)
+    ).agg(F.count("*").alias("_n"))
+    best = counts.groupBy(*group, "_base", "date").agg(F.max(F.struct(value, "_n")).alias("_best"))
+    days = best.select(
+        *group, "date", "_base", F.col(f"_best.{value}").alias(value),
+        F.when(F.col("_base"), F.lit(1)).otherwise(F.col("_best._n")).alias("_n"),
+    )
+    per_series = W.partitionBy(*group)
+    upto = per_series.orderBy("date").rangeBetween(W.unboundedPreceding, W.currentRow)
+    same_day = per_series.orderBy("date").rangeBetween(W.currentRow, W.currentRow)
+    shown = (
+        days.withColumn("baseline", F.max(F.when(F.col("_base"), F.col(value))).over(per_series))
+        .withColumn("cummax", F.max(value).over(upto))
+        .withColumn("_top", F.max(value).over(same_day))
+        .where(F.col(value) >= F.col("_top"))
     )
+    targets = literal_table(df.sparkSession, [series, "goal"], [(n, float(g)) for n, g in goals.items()])
+    return shown.join(F.broadcast(targets), series, "left").select(
+        *group, "date", value, "baseline", "cummax", "goal",
+        goal_fraction(F.col("cummax"), F.col("goal"), F.col("baseline")).alias("progress"),
+        F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"),
+    ).drop("_copy")
 
 
 def utc_date(ts: Column) -> Column:

@@ -11,7 +11,7 @@ from daybook.functions.dates import DateLike, date_parts, instant, wall_clock
 from daybook.functions.numeric import kg_to_lb, pace, to_number
 from daybook.functions.text import capture, strip_token
 from daybook.operators.fill import date_spine_fill, forward_fill, interpolate
-from daybook.operators.joins import Measures, enrich_intervals
+from daybook.operators.joins import Wanted, enrich_intervals
 from daybook.operators.shape import lower_names
 from daybook.operators.stats import daily
 
@@ -33,12 +33,13 @@ def clean_measurements(records: DataFrame, drop: Sequence[str] = config.RECORD_C
     )
 
 
-def measurement_spans(records: DataFrame, kind: str, keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, start, end, value) of one kind of measurement, for interval enrichment."""
+def measurement_spans(records: DataFrame, kinds: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, type, start, end, value) of some kinds of measurement, for interval enrichment."""
     df = lower_names(records)
-    mine = df.where(F.col("type") == config.RECORD_TYPE_PREFIX + kind)
+    mine = df.where(F.col("type").isin([config.RECORD_TYPE_PREFIX + k for k in kinds]))
     return mine.select(
-        *keys, instant(F.col("startdate")).alias("start"), instant(F.col("enddate")).alias("end"),
+        *keys, strip_token(F.col("type"), config.RECORD_TYPE_PREFIX).alias("type"),
+        instant(F.col("startdate")).alias("start"), instant(F.col("enddate")).alias("end"),
         to_number(F.col("value")).alias("value"),
     )
 
@@ -83,13 +84,14 @@ def workout_energy(workouts: DataFrame, types: Sequence[str] = config.ENERGY_WOR
     )
 
 
-def enrich_workouts(workouts: DataFrame, measures: Measures, keys: Sequence[str] = (),
-                    start: str = "startdate", end: str = "enddate", **options) -> DataFrame:
-    """Workouts with heart rate, energy, distance, ... of the time they took, and their pace.
+def enrich_workouts(workouts: DataFrame, spans: DataFrame, wanted: Wanted = config.WORKOUT_MEASURES,
+                    keys: Sequence[str] = (), start: str = "startdate", end: str = "enddate",
+                    **options) -> DataFrame:
+    """Workouts with heart rate, energy and distance of the time they took, and their pace.
 
     Pace uses the workout's own distance, not the measured one.
     """
-    rows = enrich_intervals(workouts, measures, keys, start, end, **options)
+    rows = enrich_intervals(workouts, spans, wanted, keys, start, end, **options)
     return rows.withColumn("pace", pace(F.col("duration"), F.col("totaldistance")))
 
 

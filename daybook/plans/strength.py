@@ -36,13 +36,13 @@ def with_one_rep_max(sets: DataFrame, weight: DataFrame | None = None, keys: Seq
 
 def strength_metrics(sets: DataFrame, weight: DataFrame | None = None, keys: Sequence[str] = (),
                      unweighted: Sequence[str] = config.UNWEIGHTED_EXERCISES,
-                     maxima: Mapping[str, int | None] = MAXIMA) -> DataFrame:
+                     maxima: Mapping[str, int | None] = MAXIMA, settle_in: str | None = None) -> DataFrame:
     """Sets with a positive estimate and their exercise's running and 90-day maximum.
 
     Maxima are taken before sets without a positive estimate are left out.
     """
     rated = with_one_rep_max(sets, weight, keys, unweighted)
-    scored = with_series_maxima(rated, "one_rep_max", [*keys, "exercise_name"], maxima)
+    scored = with_series_maxima(rated, "one_rep_max", [*keys, "exercise_name"], maxima, settle_in=settle_in)
     return scored.where(F.col("one_rep_max") > 0).select(
         *keys, "date", "exercise_name", "reps", "one_rep_max", *maxima
     )

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from daybook import config
-from daybook.functions.dates import DateLike, date_lit
+from daybook.functions.dates import DateLike, date_lit, month_bin
 from daybook.functions.numeric import signed_parts
 from daybook.functions.text import lift_label, metric_label, title_case
 from daybook.operators.joins import classify
 from daybook.operators.kernel import with_ewma
-from daybook.operators.shape import bucket, month_bins
-from daybook.operators.stats import order_by_median, recency_ranked
-from daybook.operators.windows import best_in_span, choose, restrict_to_top
+from daybook.operators.shape import bucket
+from daybook.operators.stats import attach, recency_ranked
+from daybook.operators.windows import best_in_span, choose
 
 _LINES = {"cummax": "cummax_one_rep_max", "rolling": "rolling_90d_max"}
 
@@ -43,13 +43,15 @@ def heatmap_cells(df: DataFrame, classes: DataFrame | None, metric: str, categor
                   value: str = "one_rep_max", dedupe: bool = False) -> DataFrame:
     """Frequency or Volume per time bin and category.
 
-    Sets are counted per bin and exercise first, and only these counts meet the
-    classification, whose several rows per exercise multiply counts, not sets.
+    Sets are first counted per month and exercise.  Only these counts are binned and meet
+    the classification, whose several rows per exercise multiply counts, not sets.
     """
-    binned = month_bins(df.select(*keys, "date", series, value), bin_months, keys)
-    cells = binned.groupBy(*keys, "time_bin", series).agg(
+    month = F.trunc("date", "MM").alias("date")
+    months = df.groupBy(*keys, month, series).agg(
         F.count("*").alias("Frequency"), F.coalesce(F.sum(value), F.lit(0.0)).alias("Volume")
     )
+    anchored = attach(months, keys, df.select(*keys, month), _anchor=F.min("date"))
+    cells = anchored.withColumn("time_bin", month_bin(F.col("date"), F.col("_anchor"), bin_months))
     if classes is not None:
         cells = classify(cells, classes, series, config.CLASS_CATEGORIES if dedupe else ())
     return cells.groupBy(*keys, "time_bin", category).agg(F.sum(metric).alias(metric))
@@ -60,19 +62,27 @@ def activity_heatmap(df: DataFrame, classes: DataFrame | None = None, metric: st
                      keys: Sequence[str] = (), dedupe: bool = False) -> DataFrame:
     """Heat-map tiles: cells of clear categories with their bucket and the category's place.
 
-    Per exercise, only the ones present in the most bins are shown.
+    Per exercise, only the ones present in the most bins are shown.  A category's cells, at
+    most one per time bin, travel as one row while categories are ranked, so nothing is
+    computed twice.
     """
     by_series = category not in config.CLASS_CATEGORIES
     cells = heatmap_cells(df, classes, metric, category, bin_months, keys, dedupe=dedupe)
     clear = cells.where(~F.col(category).isin(*config.UNCLEAR_LABELS) & F.col(category).isNotNull())
+    cell = F.collect_list(F.struct("time_bin", metric)).alias("_cells")
     if by_series:
-        clear = restrict_to_top(clear, category, config.TOP_SERIES, keys)
+        series = clear.groupBy(*keys, category).agg(F.count("*").alias("_bins"), cell)
+        rank = F.rank().over(W.partitionBy(*keys).orderBy(F.desc("_bins")))
+        top = series.withColumn("_rank", rank).where(F.col("_rank") <= config.TOP_SERIES)
+        clear = top.select(*keys, category, F.inline("_cells"))
+    titled = clear.withColumn(category, title_case(F.col(category)))
+    placed = titled.groupBy(*keys, category).agg(F.median(metric).alias("_median"), cell).withColumn(
+        "sort_key", F.row_number().over(W.partitionBy(*keys).orderBy("_median", category))
+    )
     breaks = config.BUCKET_BREAKS[metric, "series" if by_series else "class", bin_months]
-    tiles = clear.withColumn(category, title_case(F.col(category))).withColumn(
+    return placed.select(*keys, category, "sort_key", F.inline("_cells")).withColumn(
         "bucket", bucket(F.col(metric), breaks)
     )
-    places = order_by_median(tiles, category, metric, keys).select(*keys, category, "sort_key")
-    return tiles.join(places, [*keys, category])
 
 
 def volume_trend(volume: DataFrame, epsilon: float = config.DEFAULT_VOLUME_EPSILON,

@@ -10,6 +10,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split hot join keys even where the aggregation after the join then needs a shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Once sizes are measured, hash instead of sorting where each partition's share is small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Small literal tables become local relations, which the optimizer can size.
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

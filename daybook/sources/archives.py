@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import fnmatch
 import io
+import re
 import zipfile
 from collections.abc import Iterator, Sequence
+from urllib.parse import quote, unquote
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 _LINES_PER_BATCH = 20_000
 _LINE_SCHEMA = "archive string, member string, line_no bigint, value string"
@@ -56,22 +58,24 @@ def _line_batches(path: str, name: str, text: io.TextIOWrapper) -> Iterator[pd.D
 
 
 def stage_members(spark: SparkSession, path: str | Sequence[str], folder: str,
-                  members: Sequence[str]) -> DataFrame:
-    """Write the matching members under ``folder``; returns the (archive, member) pairs found.
+                  members: Sequence[str]) -> set[str]:
+    """Write the matching members below ``folder``, a new one; returns the names found.
 
-    A member becomes one text file, its lines in order, below ``member=<name>/archive=<path>``.
+    A member becomes one text file, its lines in order, in ``member=<name>/archive=<path>``.
     """
     rows = read_archive_lines(spark, path, members)
     (
         rows.sortWithinPartitions("member", "archive", "line_no")
         .select("member", "archive", "value")
-        .write.mode("overwrite").partitionBy("member", "archive").text(folder)
+        .write.partitionBy("member", "archive").text(folder)
     )
-    return spark.read.text(folder).select("archive", "member").distinct()
+    staged = spark.read.text(folder)
+    if "member" not in staged.columns:
+        return set()
+    # Once for the folder's own escapes, once for those of the file's address.
+    return {unquote(unquote(m)) for f in staged.inputFiles() for m in re.findall("/member=([^/]+)/", f)}
 
 
 def member_path(folder: str, member: str) -> str:
     """Where ``stage_members`` put one member of every archive."""
-    from urllib.parse import quote
-
     return f"{folder.rstrip('/')}/member={quote(member, safe=' ().-_@,')}"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook import config, schemas
@@ -18,8 +20,8 @@ _DIARY_MEMBERS = {
 
 
 def _staged(spark: SparkSession, path: str, members: list[str], staging: str | None, name: str) -> str:
-    folder = staging or f"{shared_folder(spark)}/{name}"
-    found = {r["member"] for r in stage_members(spark, path, folder, members).select("member").distinct().collect()}
+    folder = f"{staging or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    found = stage_members(spark, path, folder, members)
     missing = [m for m in members if m not in found]
     if missing:
         raise FileNotFoundError(f"{path} has no member {', '.join(missing)}")
@@ -27,15 +29,20 @@ def _staged(spark: SparkSession, path: str, members: list[str], staging: str | N
 
 
 def load_health_export(spark: SparkSession, path: str, staging: str | None = None,
-                       require_rows: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(records, workouts) of a health archive, or of an unpacked ``.xml`` file."""
+                       require_rows: bool = False, by_archive: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(records, workouts) of a health archive, or of an unpacked ``.xml`` file.
+
+    ``path`` may match many archives, one per person; ``by_archive`` then adds the column
+    ``archive`` to tell them apart.
+    """
     if path.endswith(".xml"):
-        xml = path
+        xml, keep = path, []
     else:
         member = config.HEALTH_EXPORT_MEMBER
         xml = member_path(_staged(spark, path, [member], staging, "health_export"), member)
-    records = read_elements(spark, xml, "Record", schemas.HEALTH_RECORD)
-    workouts = read_elements(spark, xml, "Workout", schemas.HEALTH_WORKOUT)
+        keep = ["archive"] if by_archive else []
+    records = read_elements(spark, xml, "Record", schemas.HEALTH_RECORD, keep=keep)
+    workouts = read_elements(spark, xml, "Workout", schemas.HEALTH_WORKOUT, keep=keep)
     if require_rows:
         for name, df in (("Record", records), ("Workout", workouts)):
             if df.isEmpty():
@@ -44,8 +51,8 @@ def load_health_export(spark: SparkSession, path: str, staging: str | None = Non
 
 
 def load_diary_export(spark: SparkSession, path: str, staging: str | None = None,
-                      ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(main diary, symptom definitions, symptom entries) of a diary archive.
+                      by_archive: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(main diary, symptom definitions, symptom entries) of one or many diary archives.
 
     A note may hold line breaks, so the main diary is read in multi-line mode.  Entries
     carry their file order, which decides between two entries for one day and symptom.
@@ -54,6 +61,6 @@ def load_diary_export(spark: SparkSession, path: str, staging: str | None = None
     folder = _staged(spark, path, members, staging, "diary_export")
     return tuple(
         read_csv(spark, member_path(folder, member), schema, multi_line=name == "main",
-                 ordinal="row_order" if name == "entries" else None)
+                 ordinal="row_order" if name == "entries" else None, keep=["archive"] if by_archive else [])
         for name, (member, schema) in _DIARY_MEMBERS.items()
     )

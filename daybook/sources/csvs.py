@@ -11,10 +11,12 @@ from daybook import schemas
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType,
-             multi_line: bool = False, ordinal: str | None = None) -> DataFrame:
+             multi_line: bool = False, ordinal: str | None = None,
+             keep: Sequence[str] = ()) -> DataFrame:
     """CSV with a header, matched to ``schema`` by name; other columns are not read.
 
-    ``ordinal`` names an extra column that sorts the rows in file order.
+    ``ordinal`` names an extra column that sorts the rows in file order; ``keep`` names
+    columns to take from the folder names.
     """
     header = spark.read.option("header", True).option("multiLine", multi_line)
     found = header.csv(path).columns
@@ -26,7 +28,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType,
     for name in found:
         full = full.add(wanted[name] if name in wanted else name, None if name in wanted else "string")
     rows = header.schema(full).csv(path)
-    out = [F.col(f"`{n}`") for n in wanted]
+    out = [F.col(f"`{n}`") for n in (*wanted, *keep)]
     if ordinal:
         # Ids grow along a file split, and splits are placed by where they start.
         out.append(F.struct(

@@ -9,9 +9,11 @@ from pyspark.sql.types import StructType
 
 
 def read_elements(spark: SparkSession, path: str | Sequence[str], tag: str, schema: StructType,
-                  split: bool = True) -> DataFrame:
+                  split: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """One row per ``tag`` element at any depth; ``schema`` names the attributes, all text.
 
+    ``keep`` names columns to take from the folder names.
+
     With ``split`` the file is read as text cut at every ``<``.  That character starts a tag
     and, in well-formed XML, appears nowhere inside one, so each piece is one tag and Spark
     can give parts of one large file to many tasks.  Files that hide elements in comments or
@@ -19,11 +21,11 @@ def read_elements(spark: SparkSession, path: str | Sequence[str], tag: str, sche
     """
     if not split:
         reader = spark.read.format("xml").option("rowTag", tag).option("attributePrefix", "")
-        return reader.schema(schema).load(path)
+        return reader.schema(schema).load(path).select(*schema.names, *keep)
     pieces = spark.read.option("lineSep", "<").text(path)
     mine = pieces.where(F.col("value").startswith(tag) & F.col("value").rlike(f"^{tag}[\\s/>]"))
     # Up to the closing bracket; a bracket inside a quoted attribute is not it.
     opening = F.regexp_extract("value", r"""^((?:[^"'>]|"[^"]*"|'[^']*')*)>""", 1)
     element = F.concat(F.lit("<"), F.rtrim(opening, F.lit("/ \t\r\n")), F.lit("/>"))
     parsed = F.from_xml(element, schema.simpleString(), {"attributePrefix": "", "rowTag": tag})
-    return mine.select(parsed.alias("_row")).select("_row.*")
+    return mine.select(parsed.alias("_row"), *keep).select("_row.*", *keep)
