@@ -46,7 +46,7 @@ def coalesce_mean_query(t):
     CAST(day(ts) AS INTEGER) AS day, CAST(dayofyear(ts) AS INTEGER) AS yday, CAST(isodow(ts) - 1 AS INTEGER) AS wday,
     CAST(hour(ts) AS INTEGER) AS hour, CAST(minute(ts) AS INTEGER) AS minute,
     CASE WHEN event_type <> 'view' THEN 'Watch ' || user_id END AS device,
-    CAST(date_trunc('second', ts) AS TIMESTAMP) + INTERVAL 8 HOUR AS enddate FROM events""")
+    epoch_us(date_trunc('second', ts) + INTERVAL 8 HOUR) AS enddate FROM events""")
 def parse_measurements(t):
     raw = t.events.select(
         "event_id",
@@ -59,7 +59,7 @@ def parse_measurements(t):
         F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" -0800")).alias("endDate"),
     )
     cleaned = clean_measurements(raw).drop("endclock")
-    return cleaned.withColumn("enddate", F.col("enddate").cast("timestamp_ntz"))
+    return cleaned.withColumn("enddate", F.unix_micros("enddate"))
 
 
 @query("""SELECT event_id, CAST(ts AS DATE) AS date, CAST(year(ts) AS INTEGER) AS year,
@@ -130,7 +130,7 @@ def display_range(t):
     return shown.select("user_id", "date", rounded("total", 4))
 
 
-@query("""SELECT user_id, event_type AS type, CAST(date_trunc('second', ts) AS TIMESTAMP) + INTERVAL 8 HOUR AS date,
+@query("""SELECT user_id, event_type AS type, epoch_us(date_trunc('second', ts) + INTERVAL 8 HOUR) AS date,
     value AS duration FROM events WHERE event_type IN ('click', 'view', 'purchase')""")
 def workouts_select(t):
     stamp = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" -0800"))
@@ -139,7 +139,7 @@ def workouts_select(t):
         F.col("value").cast("string").alias("duration"), stamp.alias("startDate"), stamp.alias("endDate"),
     )
     picked = select_workouts(raw, ["click", "view", "purchase"], keys=["user_id"])
-    return picked.withColumn("date", F.col("date").cast("timestamp_ntz"))
+    return picked.withColumn("date", F.unix_micros("date"))
 
 
 @query(f"""SELECT date, {approx_sql("min(weight * 2.20462)")} AS body_mass FROM sets GROUP BY date""")

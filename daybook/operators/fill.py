@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from daybook.functions.dates import DateLike, date_lit, day_number
-from daybook.operators.stats import attach
 
 _ONE_DAY = "interval 1 day"
 
@@ -46,22 +45,18 @@ def dense_fill(df: DataFrame, value: str, keys: Sequence[str] = (), date: str =
 
 def fill_after_first_seen(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
                           date: str = "date", fill: float = 1.0) -> DataFrame:
-    """NULL -> ``fill`` strictly after the first date a column has a value; earlier NULLs stay."""
-    firsts = {
-        f"_first_{i}": F.min(F.when(F.col(f"`{c}`").isNotNull(), F.col(date)))
-        for i, c in enumerate(cols)
-    }
-    seen = attach(df, keys, **firsts)
-    place = {c: i for i, c in enumerate(cols)}
-    return seen.select(
-        *[
-            F.when(F.col(f"`{c}`").isNull() & (F.col(date) > F.col(f"_first_{place[c]}")), F.lit(fill))
-            .otherwise(F.col(f"`{c}`"))
-            .alias(c)
-            if c in place else F.col(f"`{c}`")
-            for c in df.columns
-        ]
-    )
+    """NULL -> ``fill`` strictly after the first date a column has a value; earlier NULLs stay.
+
+    For tables with one row per key and date: a key's rows form one window.
+    """
+    of_key = W.partitionBy(*keys)
+
+    def filled(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        first = F.min(F.when(c.isNotNull(), F.col(date))).over(of_key)
+        return F.when(c.isNull() & (F.col(date) > first), F.lit(fill)).otherwise(c).alias(name)
+
+    return df.select(*[filled(c) if c in cols else F.col(f"`{c}`") for c in df.columns])
 
 
 def coalesce_mean(df: DataFrame, target: str, a: str, b: str) -> DataFrame:

@@ -42,23 +42,24 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
     """Average or sum of the measurements lying inside each interval; NULL where none do.
 
     A measurement lies inside when it starts at or after the interval's start and ends at or
-    before its end.  Rather than pairing intervals with measurements, this uses
-
-        inside = (ended by the interval's end) - (started before its start)
-                 + (started before its start and ended after its end)
-
-    The first two are running totals read off at the interval's two edges; the third is
-    empty unless a measurement spans a whole interval, and is a join on those rare ones.
-    Running totals are taken inside (key, time bucket) groups and carried between buckets,
-    so neither a busy key nor overlapping intervals multiply rows; a task sorts one key's
-    rows of one bucket (a day by default) at a time.  ``m_end=None`` declares instantaneous
-    measurements, for which the third term is always empty.
+    before its end.  Time is cut into buckets (days by default), and rather than pairing
+    intervals with measurements this adds up, per interval from bucket ``s`` to bucket ``e``,
+
+        + those ending in bucket e by the interval's end      (a running total, read at the end)
+        + those ending in the buckets s .. e-1                (bucket totals)
+        - those starting in bucket s before the start         (a running total, read at the start)
+        - those open when bucket s begins                     (totals of measurements over buckets)
+        + those starting before the start and ending after the end
+
+    A task sorts one key's rows of one bucket at a time, so neither a busy key nor overlapping
+    intervals multiply rows, and every total is as local as the interval.  ``m_end=None``
+    declares instantaneous measurements, for which the last two lines are always empty.
     """
     two = m_end is not None
     zoneless = intervals.schema[start].dataType.typeName() == "timestamp_ntz"
 
-    def bucket_of(ts: Column) -> Column:
-        return F.floor(_seconds(ts, zoneless, whole=True) / bucket_seconds)
+    def bucket_of(ts: str) -> Column:
+        return F.floor(_seconds(F.col(ts), zoneless, whole=True) / bucket_seconds)
 
     # Per kind: summed value (x), non-NULL values (n), rows (r).
     v = F.col(value).cast("double")
@@ -76,7 +77,11 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
         .where(F.col("_ms").isNotNull() & F.col("_me").isNotNull())
     )
     zeros = [F.lit(0).cast("double" if t.startswith("_x") else "bigint").alias(t) for t in totals]
-    packed = intervals.select("*", F.struct(*[F.col(f"`{c}`").alias(c) for c in intervals.columns]).alias("_iv"))
+    whole_row = F.struct(*[F.col(f"`{c}`").alias(c) for c in intervals.columns]).alias("_iv")
+    packed = intervals.select(
+        *keys, F.col(start).alias("_s"), F.col(end).alias("_e"), bucket_of(start).alias("_bs"),
+        bucket_of(end).alias("_be"), whole_row,
+    )
 
     # Timelines: side 1 orders measurements by their end, side 0 by their start.  Where both
     # are the same instant, one timeline serves both edges.
@@ -89,27 +94,35 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
         *keys, F.lit(None).cast(packed.schema["_iv"].dataType).alias("_iv"), F.lit(1).alias("_ord"),
         F.lit(0).alias("_sign"), *totals, F.inline(F.array(*sides)))
     # An interval's start reads the total before its instant, its end the total after it.
-    edge = F.array(at(0 if two else 1, start, _ord=0, _sign=-1), at(1, end, _ord=2, _sign=1))
+    edge = F.array(at(0 if two else 1, "_s", _ord=0, _sign=-1), at(1, "_e", _ord=2, _sign=1))
     edges = packed.select(*keys, "_iv", F.inline(edge), *zeros)
-    line = points.unionByName(edges).withColumn("_bucket", bucket_of(F.col("_t")))
-
-    group = [*keys, "_side", "_bucket"]
-    inside = W.partitionBy(*group).orderBy("_t", "_ord").rowsBetween(W.unboundedPreceding, 0)
-    running = line.select(
-        *group, "_sign", "_iv", *[F.sum(t).over(inside).alias(t) for t in totals]
-    ).where("_sign != 0")
-    earlier = W.partitionBy(*keys, "_side").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    carry = (
-        line.groupBy(*group).agg(*[F.sum(t).alias(t) for t in totals])
-        .select(*group, *[F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias("_c" + t) for t in totals])
-    )
-    read = running.join(carry, group, "left").select(
-        "_iv", (F.col("_sign") < 0).cast("int").alias("_copies"),
-        *[(F.col("_sign") * (F.col(t) + F.col("_c" + t))).alias(t) for t in totals],
+    line = points.unionByName(edges).withColumn("_bucket", bucket_of("_t"))
+    inside = W.partitionBy(*keys, "_side", "_bucket").orderBy("_t", "_ord").rowsBetween(
+        W.unboundedPreceding, 0)
+    read = (
+        line.select("_sign", "_iv", *[F.sum(t).over(inside).alias(t) for t in totals])
+        .where("_sign != 0")
+        .select("_iv", (F.col("_sign") < 0).cast("int").alias("_copies"),
+                *[(F.col("_sign") * F.col(t)).alias(t) for t in totals])
     )
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys, "_bucket").agg(*[F.sum(t).alias(t) for t in totals])
+
+    def part(rows: DataFrame, sign: int = 1) -> DataFrame:
+        return rows.select("_iv", F.lit(0).alias("_copies"), *[(sign * F.col(t)).alias(t) for t in totals])
+
+    on = [*keys, "_bucket"]
+    ended = summed(wide.withColumn("_bucket", bucket_of("_me")))
+    crossing = packed.where("_bs < _be").select(
+        *keys, "_iv", F.explode(F.expr("sequence(_bs, _be - 1)")).alias("_bucket"))
+    read = read.unionByName(part(crossing.join(ended, on)))
     if two:
-        spanning = _spanning(packed, wide, keys, start, end, list(totals), bucket_of, zoneless)
-        read = read.unionByName(spanning.withColumn("_copies", F.lit(0)))
+        lasting = wide.withColumns({"_b0": bucket_of("_ms"), "_b1": bucket_of("_me")})
+        opened = summed(lasting.where("_b0 < _b1").withColumn("_bucket", F.explode(F.expr("sequence(_b0 + 1, _b1)"))))
+        starting = packed.withColumnRenamed("_bs", "_bucket")
+        read = read.unionByName(part(starting.join(opened, on), -1))
+        read = read.unionByName(part(_spanning(starting, lasting, on, zoneless)))
 
     # Equal interval rows fall into one group: their totals are shared out and the rows
     # written again as often as they came.
@@ -132,27 +145,19 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
     return sums.select("_iv.*", *out)
 
 
-def _spanning(packed, wide, keys, start, end, totals, bucket_of, zoneless) -> DataFrame:
-    """Totals of measurements that start before and end after an interval.
+def _spanning(starting: DataFrame, lasting: DataFrame, on: Sequence[str], zoneless: bool) -> DataFrame:
+    """Measurements that start before and end after an interval, beside that interval.
 
     Only measurements longer than the shortest interval starting in a bucket they cover
     take part; that test is an equi-join with one row per bucket.
     """
-    length = _seconds(F.col(end), zoneless) - _seconds(F.col(start), zoneless)
-    spans = packed.select(
-        *keys, bucket_of(F.col(start)).alias("_bucket"), F.col(start).alias("_s"),
-        F.col(end).alias("_e"), length.alias("_len"), "_iv",
-    )
-    shortest = spans.groupBy(*keys, "_bucket").agg(F.min("_len").alias("_min_len"))
-    long = wide.where(F.col("_me") > F.col("_ms")).withColumn(
-        "_bucket", F.explode(F.sequence(bucket_of(F.col("_ms")), bucket_of(F.col("_me"))))
-    )
-    on = [*keys, "_bucket"]
-    able = long.join(shortest, on).where(
-        _seconds(F.col("_me"), zoneless) - _seconds(F.col("_ms"), zoneless) > F.col("_min_len")
-    )
-    hit = (F.col("_ms") < F.col("_s")) & (F.col("_me") > F.col("_e"))
-    return able.join(spans, on).where(hit).select("_iv", *totals)
+    def length(a: str, b: str) -> Column:
+        return _seconds(F.col(b), zoneless) - _seconds(F.col(a), zoneless)
+
+    shortest = starting.groupBy(*on).agg(F.min(length("_s", "_e")).alias("_shortest"))
+    covering = lasting.where("_ms < _me").withColumn("_bucket", F.explode(F.expr("sequence(_b0, _b1)")))
+    able = covering.join(shortest, on).where(length("_ms", "_me") > F.col("_shortest"))
+    return able.join(starting, on).where("_ms < _s AND _me > _e")
 
 
 def _seconds(ts: Column, zoneless: bool, whole: bool = False) -> Column:
