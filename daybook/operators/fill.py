@@ -18,29 +18,42 @@ def _spine(bounds: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
     )
 
 
+def _with_missing(rows: DataFrame, spine: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``rows`` plus a row of NULLs for each spine entry that has none.
+
+    The left join from the spine, written so that only the distinct entries of ``rows`` are
+    shuffled and not the rows.
+    """
+    missing = spine.join(rows.select(*on).distinct(), list(on), "left_anti")
+    rest = [F.col(f"`{c}`") for c in rows.columns if c not in on]
+    return rows.select(*on, *rest).unionByName(missing, allowMissingColumns=True)
+
+
 def date_spine_fill(df: DataFrame, as_of: DateLike, keys: Sequence[str] = (), date: str = "date",
                     metrics: Sequence[str] = (), metric: str = "metric") -> DataFrame:
-    """All days from a key's first date to ``as_of`` (times ``metrics``), left-joined with ``df``.
+    """All days from a key's first date to ``as_of`` (times ``metrics``), with the rows of ``df``.
 
     Rows dated after ``as_of`` or carrying another metric are not kept.
     """
-    bounds = df.groupBy(*keys).agg(F.min(date).alias("_from"), date_lit(as_of).alias("_to"))
-    spine = _spine(bounds, keys, date)
+    rows = df.where(F.col(date) <= date_lit(as_of))
+    days = rows.select(*keys, date).distinct()
+    spine = _spine(days.groupBy(*keys).agg(F.min(date).alias("_from"), date_lit(as_of).alias("_to")), keys, date)
     on = [*keys, date]
     if metrics:
-        names = F.array(*[F.lit(m) for m in metrics])
-        spine = spine.withColumn(metric, F.explode(names))
+        spine = spine.withColumn(metric, F.explode(F.array(*[F.lit(m) for m in metrics])))
+        rows = rows.where(F.col(metric).isin(list(metrics)))
         on.append(metric)
-    return spine.join(df, on, "left")
+    return _with_missing(rows, spine, on)
 
 
 def dense_fill(df: DataFrame, value: str, keys: Sequence[str] = (), date: str = "date",
                fill: float = 0.0, out: str | None = None) -> DataFrame:
     """Every day between a key's first and last date; days without a value get ``fill``."""
-    bounds = df.groupBy(*keys).agg(F.min(date).alias("_from"), F.max(date).alias("_to"))
-    rows = df.withColumnRenamed(value, out) if out else df
-    filled = _spine(bounds, keys, date).join(rows, [*keys, date], "left")
-    return filled.fillna(fill, subset=[out or value])
+    dated = df.where(F.col(date).isNotNull())
+    rows = dated.withColumnRenamed(value, out) if out else dated
+    days = rows.select(*keys, date).distinct()
+    bounds = days.groupBy(*keys).agg(F.min(date).alias("_from"), F.max(date).alias("_to"))
+    return _with_missing(rows, _spine(bounds, keys, date), [*keys, date]).fillna(fill, subset=[out or value])
 
 
 def fill_after_first_seen(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
@@ -70,20 +83,24 @@ def _with_known_neighbours(df: DataFrame, value: str, keys: Sequence[str], date:
 
     Two levels: positions and neighbours inside a day, and what earlier and later days
     carry in, computed on one summary row per day.  No task sees more than one day of
-    rows, or one key's days, at a time.
+    rows, or one key's days, at a time.  Key and date travel as one struct, which is never
+    NULL, so both levels use the same shuffle of the rows.
     """
-    in_day = W.partitionBy(*keys, date)
-    rows = df.withColumn("_i", F.row_number().over(in_day.orderBy(*order)))
-    known = F.col(value).isNotNull()
-    point = F.struct(
-        F.col("_i").cast("bigint").alias("pos"), day_number(F.col(date)).alias("day"),
-        F.col(value).alias("v"),
-    )
-    days = rows.groupBy(*keys, date).agg(
-        F.count("*").alias("_n"),
-        F.min(F.when(known, point)).alias("_first"),
-        F.max(F.when(known, point)).alias("_last"),
+    names = [*keys, date]
+    others = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    in_day = W.partitionBy("_day")
+    rows = df.select(F.struct(*names).alias("_day"), *others).withColumn(
+        "_i", F.row_number().over(in_day.orderBy(*order)).cast("bigint")
     )
+    known = F.col(value).isNotNull()
+    number = day_number(F.col(f"_day.{date}")).alias("day")
+
+    def point(pos: str) -> Column:
+        return F.when(known, F.struct(F.col(pos).alias("pos"), number, F.col(value).alias("v")))
+
+    days = rows.groupBy("_day").agg(
+        F.count("*").alias("_n"), F.min(point("_i")).alias("_first"), F.max(point("_i")).alias("_last")
+    ).select("*", *[F.col(f"_day.{n}").alias(n) for n in names])
 
     def shifted(col: str) -> Column:
         """The point with its position counted from the start of the series."""
@@ -96,17 +113,16 @@ def _with_known_neighbours(df: DataFrame, value: str, keys: Sequence[str], date:
         days.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .withColumn("_carry_prev", F.last(shifted("_last"), ignorenulls=True).over(earlier))
         .withColumn("_carry_next", F.last(shifted("_first"), ignorenulls=True).over(later))
-        .select(*keys, date, "_offset", "_carry_prev", "_carry_next")
+        .select("_day", "_offset", "_carry_prev", "_carry_next")
     )
-    joined = rows.join(carried, [*keys, date], "left").withColumn("_pos", F.col("_offset") + F.col("_i"))
-    here = F.when(known, F.struct(
-        F.col("_pos").alias("pos"), day_number(F.col(date)).alias("day"), F.col(value).alias("v")))
+    joined = rows.join(carried, "_day", "left").withColumn("_pos", F.col("_offset") + F.col("_i"))
     up = in_day.orderBy("_i").rowsBetween(W.unboundedPreceding, 0)
     down = in_day.orderBy(F.desc("_i")).rowsBetween(W.unboundedPreceding, 0)
+    here = point("_pos")
     return (
         joined.withColumn("_prev", F.coalesce(F.last(here, ignorenulls=True).over(up), "_carry_prev"))
         .withColumn("_next", F.coalesce(F.last(here, ignorenulls=True).over(down), "_carry_next"))
-        .drop("_i", "_offset", "_carry_prev", "_carry_next")
+        .select(*[F.col(f"_day.{n}").alias(n) for n in names], *others, "_pos", "_prev", "_next")
     )
 
 

@@ -38,11 +38,11 @@ def full_outer_daily(days: DataFrame, rows: DataFrame, on: Sequence[str], fill:
 def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Wanted,
                      keys: Sequence[str] = (), start: str = "start", end: str = "end",
                      m_start: str = "start", m_end: str | None = "end", kind: str = "type",
-                     value: str = "value", bucket_seconds: int = 86_400) -> DataFrame:
+                     value: str = "value", bucket_seconds: int = 3_600) -> DataFrame:
     """Average or sum of the measurements lying inside each interval; NULL where none do.
 
     A measurement lies inside when it starts at or after the interval's start and ends at or
-    before its end.  Time is cut into buckets (days by default), and rather than pairing
+    before its end.  Time is cut into buckets (hours by default), and rather than pairing
     intervals with measurements this adds up, per interval from bucket ``s`` to bucket ``e``,
 
         + those ending in bucket e by the interval's end      (a running total, read at the end)

@@ -84,11 +84,14 @@ def utc_date(ts: Column) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86_400).cast("int"))
 
 
-def _day_of(df: DataFrame, ts: str, basis: str) -> Column:
-    kind = df.schema[ts].dataType.typeName()
-    if kind == "timestamp":
-        return utc_date(F.col(ts)) if basis == "utc" else F.to_date("clock")
-    return F.to_date(ts)
+def _day_and_year(df: DataFrame, ts: str, basis: str, year: int) -> tuple[Column, Column]:
+    """The day a time falls on, and a test for the year that the scan can use."""
+    if df.schema[ts].dataType.typeName() != "timestamp":
+        return F.to_date(ts), in_year(F.to_date(ts), year)
+    if basis == "wall":
+        return F.to_date("clock"), in_year(F.to_date("clock"), year)
+    first, after = (dt.datetime(y, 1, 1, tzinfo=dt.timezone.utc) for y in (year, year + 1))
+    return utc_date(F.col(ts)), (F.col(ts) >= F.lit(first)) & (F.col(ts) < F.lit(after))
 
 
 def goal_progress_count(df: DataFrame, mapping: Mapping[str, str] = config.TYPE_CATEGORIES,
@@ -105,11 +108,10 @@ def goal_progress_count(df: DataFrame, mapping: Mapping[str, str] = config.TYPE_
         (t, c, int(goals[c][0]), float(goals[c][1])) for t, c in mapping.items() if c in goals
     ]
     lookup = literal_table(spark, [kind, "activity", "_times", "_least"], wanted)
-    day = _day_of(df, ts, date_basis)
+    day, this_year = _day_and_year(df, ts, date_basis, year)
     sessions = (
-        df.where(F.col(kind).isin([w[0] for w in wanted]))
+        df.where(F.col(kind).isin([w[0] for w in wanted]) & this_year)
         .select(*keys, kind, day.alias("date"), amount)
-        .where(in_year(F.col("date"), year))
         .join(F.broadcast(lookup), kind)
         .where(F.col(amount) >= F.col("_least"))
         .select(*keys, "activity", F.col("_times").cast("double").alias("goal"), "date")

@@ -14,7 +14,7 @@ from daybook.plans.classify import classification_requests, classify_exercises
 from daybook.plans.diary import diary_wide
 from daybook.plans.goals import goal_progress_count, goal_progress_habits, goal_progress_max
 from daybook.plans.measurements import (
-    clean_measurements, clean_workouts, enrich_workouts, measurement_spans, workout_energy,
+    clean_measurements, clean_workouts, enrich_workouts, measurement_spans, select_workouts, workout_energy,
 )
 from daybook.plans.strength import daily_volume_with_energy
 from daybook.plans.views import activity_heatmap, metric_trend, one_rep_max_view, series_choices, volume_trend
@@ -229,13 +229,18 @@ def test_views(spark, tables):
     assert tiles.agg(F.sum("Volume")).first()[0] == pytest.approx(lifts.agg(F.sum("one_rep_max")).first()[0])
 
 
-def test_goals(spark, tables):
+def test_goals(spark, paths, tables, tmp_path):
     counts = goal_progress_count(tables["non_weightlifting_exercise"]).collect()
     real = {(r.activity, r.date, r.cumulative_count) for r in counts if r.cumulative_count}
     # 2024-01-31 23:30 at -0800 is February 1st in UTC, and New Year's Eve's yoga is in 2024.
     assert real == {("Soccer", D("2024-01-05"), 1), ("Soccer", D("2024-02-01"), 2), ("Cardio", D("2024-02-03"), 1),
                     ("Stretching", D("2024-01-01"), 1)}
     assert sum(r.cumulative_count == 0 for r in counts) == 3
+    workouts = load_health_export(spark, paths["health"], str(tmp_path / "s"))[1]
+    by_clock = goal_progress_count(select_workouts(workouts, keep_clock=True), date_basis="wall").collect()
+    # By the clock they are January 31st and last year's.
+    assert {(r.activity, r.date, r.cumulative_count) for r in by_clock if r.cumulative_count} == {
+        ("Soccer", D("2024-01-05"), 1), ("Soccer", D("2024-01-31"), 2), ("Cardio", D("2024-02-03"), 1)}
     best = goal_progress_max(tables["weightlifting"]).collect()
     assert {r.exercise_name for r in best} == {"Chin Up", "Bench Press (Barbell)"}
     start = [r for r in best if r.date == D("2024-01-01")]

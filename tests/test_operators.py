@@ -251,6 +251,14 @@ def test_interpolation_by_position_and_date(frame):
     assert at(fill.forward_fill(df, "v", order=["o"])) == [None, 10, 10, 10, 40, 40]
 
 
+def test_interpolation_keeps_rows_without_a_key(frame):
+    df = frame("u string, date date, v double", [
+        (None, "2024-01-01", 1.0), (None, "2024-01-02", None), (None, "2024-01-03", 3.0), ("a", "2024-01-02", None)])
+    assert rows(fill.interpolate(df, "v", ["u"])) == [
+        ("a", day("2024-01-02"), None), (None, day("2024-01-01"), 1.0), (None, day("2024-01-02"), 2.0),
+        (None, day("2024-01-03"), 3.0)]
+
+
 # --- kernel, intervals -----------------------------------------------------------------------
 
 @pytest.mark.parametrize("eps", [0.0, 0.005, 0.3, 5.0])
