@@ -95,6 +95,13 @@ def enrich_workouts(workouts: DataFrame, spans: DataFrame, wanted: Wanted = conf
     return rows.withColumn("pace", pace(F.col("duration"), F.col("totaldistance")))
 
 
+def fill_metrics(df: DataFrame, as_of: DateLike, metric_set: str = "energy",
+                 metrics: Sequence[str] | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """Every day times every metric of a named set, or of the caller's own list."""
+    names = config.METRIC_SETS[metric_set] if metrics is None else metrics
+    return date_spine_fill(df, as_of, keys, metrics=names)
+
+
 def daily_weight(measurements: DataFrame, as_of: DateLike, fill: str = "linear",
                  keys: Sequence[str] = (), order: Sequence[str | Column] = (),
                  kind: str = config.BODY_MASS_TYPE, by: str = "position") -> DataFrame:

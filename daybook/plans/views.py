@@ -12,7 +12,7 @@ from daybook.functions.numeric import signed_parts
 from daybook.functions.text import lift_label, metric_label, title_case
 from daybook.operators.joins import classify
 from daybook.operators.kernel import with_ewma
-from daybook.operators.shape import bucket
+from daybook.operators.shape import bucket, display_range
 from daybook.operators.stats import attach, recency_ranked
 from daybook.operators.windows import best_in_span, choose
 
@@ -93,12 +93,18 @@ def volume_trend(volume: DataFrame, epsilon: float = config.DEFAULT_VOLUME_EPSIL
 
 
 def metric_trend(scores: DataFrame, metrics: Sequence[str] = (),
-                 epsilon: float = config.DEFAULT_METRIC_EPSILON, keys: Sequence[str] = ()) -> DataFrame:
-    """Chosen metrics with their sign, average, bands above and below zero, and label."""
+                 epsilon: float = config.DEFAULT_METRIC_EPSILON, keys: Sequence[str] = (),
+                 within_axis: bool = False) -> DataFrame:
+    """Chosen metrics with their sign, average, bands above and below zero, and label.
+
+    ``within_axis`` leaves out rows the axis would not show, after averaging over all.
+    """
     mine = scores.where(
         F.col("metric").isin(list(metrics or config.DEFAULT_METRICS)) & F.col("value").isNotNull()
     )
     rows = with_ewma(mine, "value", epsilon, [*keys, "metric"])
+    if within_axis:
+        rows = display_range(rows, "value", *config.METRIC_AXIS)
     above, below = signed_parts(F.col("exp_moving_avg"))
     return rows.select(
         *keys, "date", "note", "metric", "value", (F.col("value") > 0).alias("positive_value"),

@@ -14,7 +14,8 @@ from daybook.plans.classify import classification_requests, classify_exercises
 from daybook.plans.diary import diary_wide
 from daybook.plans.goals import goal_progress_count, goal_progress_habits, goal_progress_max
 from daybook.plans.measurements import (
-    clean_measurements, clean_workouts, enrich_workouts, measurement_spans, select_workouts, workout_energy,
+    clean_measurements, clean_workouts, fill_metrics, enrich_workouts, measurement_spans, select_workouts,
+    workout_energy,
 )
 from daybook.plans.strength import daily_volume_with_energy
 from daybook.plans.views import activity_heatmap, metric_trend, one_rep_max_view, series_choices, volume_trend
@@ -115,6 +116,21 @@ def test_many_archives_are_told_apart(spark, tmp_path):
 
 # --- jobs -----------------------------------------------------------------------------------
 
+@pytest.mark.parametrize("name, schema", [
+    ("non_weightlifting_exercise", schemas.WORKOUTS), ("weight", schemas.WEIGHT), ("weightlifting", schemas.STRENGTH),
+    ("mental_health", schemas.SCORES), ("volume", schemas.VOLUME),
+])
+def test_result_columns(tables, name, schema):
+    assert [(f.name, f.dataType) for f in tables[name].schema] == [(f.name, f.dataType) for f in schema]
+
+
+def test_metric_sets(frame):
+    df = frame("date date, metric string, value double", [("2024-01-01", "Fat", 5.0), ("2024-01-03", "Other", 6.0)])
+    got = fill_metrics(df, "2024-01-04", "nutrition").collect()
+    assert len(got) == 4 * 5 and [r.value for r in got if r.value is not None] == [5.0]
+    assert fill_metrics(df, "2024-01-04", metrics=["Fat", "Other"]).count() == 8
+
+
 def test_measurements(spark, paths, tmp_path):
     records, _ = load_health_export(spark, paths["health"], str(tmp_path / "s"))
     cleaned = clean_measurements(records)
@@ -223,6 +239,9 @@ def test_views(spark, tables):
     trend = metric_trend(tables["mental_health"]).collect()
     assert trend and all(r.metric == "mental_health" for r in trend)
     assert all(r.band_above >= 0 >= r.band_below for r in trend)
+    shown = metric_trend(tables["mental_health"], within_axis=True).collect()
+    inside = {r.date: r.exp_moving_avg for r in trend if -101 <= r.value <= 101}
+    assert {r.date: r.exp_moving_avg for r in shown} == pytest.approx(inside)
     assert volume_trend(tables["volume"]).count() == tables["volume"].where("one_rep_max > 0").count()
     assert series_choices(lifts, fx.AS_OF).count() == 0
     tiles = activity_heatmap(lifts, metric="Volume", category="exercise_name", bin_months=4)
