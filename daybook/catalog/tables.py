@@ -60,12 +60,11 @@ def explode_labels(t):
     return shape.explode_labels(named, "names", "label", " ").drop("names")
 
 
-@query("""SELECT s.exercise_name, date, Muscle_Group, Push_Pull_Legs, count(*) AS n, sum(reps) AS reps FROM sets s
-    LEFT JOIN classes c ON c.exercise_name = s.exercise_name AND c.Muscle_Group < 'Brand#13' GROUP BY ALL""")
+@query("""SELECT s.exercise_name, Muscle_Group, Push_Pull_Legs, count(*) AS n, sum(reps) AS reps FROM sets s
+    LEFT JOIN classes c ON c.exercise_name = s.exercise_name GROUP BY ALL""")
 def classify_join_fanout(t):
-    some = t.classes.where(F.col("Muscle_Group") < "Brand#13")
-    rows = joins.classify(t.sets, some)
-    return rows.groupBy("exercise_name", "date", "Muscle_Group", "Push_Pull_Legs").agg(
+    rows = joins.classify(t.sets, t.classes)
+    return rows.groupBy("exercise_name", "Muscle_Group", "Push_Pull_Legs").agg(
         F.count("*").alias("n"), F.sum("reps").alias("reps"))
 
 

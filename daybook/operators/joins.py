@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from daybook.operators.windows import repeat_rows
+
 # output column -> (kind of measurement, "avg" | "sum")
 Wanted = Mapping[str, tuple[str, str]]
 
@@ -51,9 +53,11 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
         - those open when bucket s begins                     (totals of measurements over buckets)
         + those starting before the start and ending after the end
 
-    A task sorts one key's rows of one bucket at a time, so neither a busy key nor overlapping
-    intervals multiply rows, and every total is as local as the interval.  ``m_end=None``
-    declares instantaneous measurements, for which the last two lines are always empty.
+    Equal intervals, and measurements of one key and time, are merged before anything is
+    sorted; then a task sorts one key's distinct times of one bucket at a time, so neither
+    a busy key, copies, nor overlapping intervals multiply rows, and every total is as local
+    as the interval.  ``m_end=None`` declares instantaneous measurements, for which the last
+    two lines are always empty.
     """
     two = m_end is not None
     zoneless = intervals.schema[start].dataType.typeName() == "timestamp_ntz"
@@ -70,15 +74,17 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
         totals[f"_x_{i}"] = F.when(mine & v.isNotNull(), v).otherwise(0.0)
         totals[f"_n_{i}"] = (mine & v.isNotNull()).cast("bigint")
         totals[f"_r_{i}"] = mine.cast("bigint")
-    wide = (
-        measurements.where(F.col(kind).isin(kinds))
-        .select(*keys, F.col(m_start).alias("_ms"), F.col(m_end or m_start).alias("_me"),
-                *[c.alias(t) for t, c in totals.items()])
-        .where(F.col("_ms").isNotNull() & F.col("_me").isNotNull())
+    usable = measurements.where(
+        F.col(kind).isin(kinds) & F.col(m_start).isNotNull() & F.col(m_end or m_start).isNotNull()
     )
+    wide = usable.groupBy(
+        *keys, F.col(m_start).alias("_ms"), F.col(m_end or m_start).alias("_me")
+    ).agg(*[F.sum(c).alias(t) for t, c in totals.items()])
+    distinct = intervals.groupBy(*[F.col(f"`{c}`") for c in intervals.columns]).agg(
+        F.count("*").alias("_copies"))
     zeros = [F.lit(0).cast("double" if t.startswith("_x") else "bigint").alias(t) for t in totals]
-    whole_row = F.struct(*[F.col(f"`{c}`").alias(c) for c in intervals.columns]).alias("_iv")
-    packed = intervals.select(
+    whole_row = F.struct(*[F.col(f"`{c}`").alias(c) for c in distinct.columns]).alias("_iv")
+    packed = distinct.select(
         *keys, F.col(start).alias("_s"), F.col(end).alias("_e"), bucket_of(start).alias("_bs"),
         bucket_of(end).alias("_be"), whole_row,
     )
@@ -102,15 +108,14 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
     read = (
         line.select("_sign", "_iv", *[F.sum(t).over(inside).alias(t) for t in totals])
         .where("_sign != 0")
-        .select("_iv", (F.col("_sign") < 0).cast("int").alias("_copies"),
-                *[(F.col("_sign") * F.col(t)).alias(t) for t in totals])
+        .select("_iv", *[(F.col("_sign") * F.col(t)).alias(t) for t in totals])
     )
 
     def summed(rows: DataFrame) -> DataFrame:
         return rows.groupBy(*keys, "_bucket").agg(*[F.sum(t).alias(t) for t in totals])
 
     def part(rows: DataFrame, sign: int = 1) -> DataFrame:
-        return rows.select("_iv", F.lit(0).alias("_copies"), *[(sign * F.col(t)).alias(t) for t in totals])
+        return rows.select("_iv", *[(sign * F.col(t)).alias(t) for t in totals])
 
     on = [*keys, "_bucket"]
     ended = summed(wide.withColumn("_bucket", bucket_of("_me")))
@@ -124,17 +129,11 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
         read = read.unionByName(part(starting.join(opened, on), -1))
         read = read.unionByName(part(_spanning(starting, lasting, on, zoneless)))
 
-    # Equal interval rows fall into one group: their totals are shared out and the rows
-    # written again as often as they came.
-    usable = F.col(f"_iv.{start}") <= F.col(f"_iv.{end}")
+    in_order = F.col(f"_iv.{start}") <= F.col(f"_iv.{end}")
     for k in keys:
-        usable = usable & F.col(f"_iv.{k}").isNotNull()
-    sums = (
-        read.groupBy("_iv")
-        .agg(F.sum("_copies").alias("_copies"), *[F.sum(t).alias(t) for t in totals])
-        .select("_iv", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"),
-                *[F.when(usable, F.col(t) / F.col("_copies")).alias(t) for t in totals])
-    )
+        in_order = in_order & F.col(f"_iv.{k}").isNotNull()
+    sums = read.groupBy("_iv").agg(*[F.sum(t).alias(t) for t in totals]).select(
+        "_iv", *[F.when(in_order, F.col(t)).alias(t) for t in totals])
     out = []
     for name, (k, how) in wanted.items():
         x, n, r = (F.col(f"_{c}_{kinds.index(k)}") for c in "xnr")
@@ -142,7 +141,7 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
             out.append(F.when(n > 0, x / n).alias(name))
         else:
             out.append(F.when((r > 0) & (n == 0), F.lit(0.0)).when(n > 0, x).alias(name))
-    return sums.select("_iv.*", *out)
+    return repeat_rows(sums.select("_iv.*", *out), "_copies")
 
 
 def _spanning(starting: DataFrame, lasting: DataFrame, on: Sequence[str], zoneless: bool) -> DataFrame:

@@ -81,24 +81,37 @@ def restrict_to_top(df: DataFrame, series: str, k: int, keys: Sequence[str] = ()
 _CHUNK = 100_000
 
 
+def repeat_rows(df: DataFrame, times: str, start: Column | None = None, out: str | None = None) -> DataFrame:
+    """Each row ``times`` times, optionally numbered upwards from ``start`` in ``out``.
+
+    Rows are first split into chunks and spread, so a row to be repeated very often is
+    written by many tasks, a chunk at a time.
+    """
+    name = out or "_number"
+    rest = [F.col(c) for c in df.columns if c != times]
+    chunks = df.select(
+        *rest, times, (F.lit(1) if start is None else start).alias("_start"),
+        F.explode(F.sequence(F.lit(0), F.expr(f"({times} - 1) div {_CHUNK}"))).alias("_chunk"),
+    )
+    first = F.col("_start") + F.col("_chunk") * _CHUNK
+    last = F.col("_start") + F.least(F.col(times), (F.col("_chunk") + 1) * _CHUNK) - 1
+    spread = chunks.repartition(*df.columns, "_chunk")
+    numbered = spread.select(*rest, F.explode(F.sequence(first, last)).alias(name))
+    return numbered if out else numbered.drop(name)
+
+
 def number_by_day(df: DataFrame, series: Sequence[str], out: str = "cumulative_count",
                   date: str = "date") -> DataFrame:
     """One row per input row, numbered within its series in date order.
 
     Rows of one day differ in nothing but their number, so the numbers come from daily
-    counts: only counts are shuffled and sorted, and a busy series' numbers are written
-    out by many tasks.
+    counts: only counts are shuffled and sorted.
     """
     counts = df.groupBy(*series, date).agg(F.count("*").alias("_n"))
     before = W.partitionBy(*series).orderBy(date).rowsBetween(W.unboundedPreceding, -1)
-    chunks = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).select(
-        *series, date, "_n", "_before",
-        F.explode(F.sequence(F.lit(0), F.expr(f"(_n - 1) div {_CHUNK}"))).alias("_chunk"),
-    )
-    spread = chunks.repartition(*series, date, "_chunk")
-    first = F.col("_before") + F.col("_chunk") * _CHUNK + 1
-    last = F.col("_before") + F.least(F.col("_n"), (F.col("_chunk") + 1) * _CHUNK)
-    return spread.select(*series, date, F.explode(F.sequence(first, last)).alias(out))
+    offset = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    offsets = counts.withColumn("_before", offset)
+    return repeat_rows(offsets, "_n", F.col("_before") + 1, out).select(*series, date, out)
 
 
 def choose(line: str, **choices: str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from daybook import config
 from daybook.functions.dates import date_lit, in_year, sunday_week
 from daybook.functions.numeric import goal_fraction
-from daybook.operators.windows import number_by_day, running_sum
+from daybook.operators.windows import number_by_day, repeat_rows, running_sum
 from daybook.sources.literal import literal_table
 
 
@@ -60,7 +60,7 @@ def goal_progress_max(df: DataFrame, goals: Mapping[str, float] = config.MAX_GOA
     best = counts.groupBy(*group, "_base", "date").agg(F.max(F.struct(value, "_n")).alias("_best"))
     days = best.select(
         *group, "date", "_base", F.col(f"_best.{value}").alias(value),
-        F.when(F.col("_base"), F.lit(1)).otherwise(F.col("_best._n")).alias("_n"),
+        F.when(F.col("_base"), F.lit(1)).otherwise(F.col("_best._n")).cast("bigint").alias("_n"),
     )
     per_series = W.partitionBy(*group)
     upto = per_series.orderBy("date").rangeBetween(W.unboundedPreceding, W.currentRow)
@@ -72,11 +72,11 @@ def goal_progress_max(df: DataFrame, goals: Mapping[str, float] = config.MAX_GOA
         .where(F.col(value) >= F.col("_top"))
     )
     targets = literal_table(df.sparkSession, [series, "goal"], [(n, float(g)) for n, g in goals.items()])
-    return shown.join(F.broadcast(targets), series, "left").select(
+    rated = shown.join(F.broadcast(targets), series, "left").select(
         *group, "date", value, "baseline", "cummax", "goal",
-        goal_fraction(F.col("cummax"), F.col("goal"), F.col("baseline")).alias("progress"),
-        F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"),
-    ).drop("_copy")
+        goal_fraction(F.col("cummax"), F.col("goal"), F.col("baseline")).alias("progress"), "_n",
+    )
+    return repeat_rows(rated, "_n")
 
 
 def utc_date(ts: Column) -> Column:

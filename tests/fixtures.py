@@ -135,7 +135,7 @@ def write_zip(path, members: dict[str, str]) -> str:
 
 
 def write_all(folder) -> dict[str, str]:
-    log = folder / "strong.csv"
+    log = folder / "strength.csv"
     rows = strength_rows()
     log.write_text(_csv(list(rows[0]), rows))
     return {
