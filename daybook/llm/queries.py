@@ -6,20 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook.llm import simhash
+from daybook.llm import exact, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = exact.exact_duplicates(docs, locator=F.col("_metadata.file_path"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-_ALL = [op6_simhash_near_dedup]
-_SQL: dict[str, str] = {}
+_ALL = [op2_exact_dedup, op6_simhash_near_dedup]
+_SQL: dict[str, str] = {
+    "op2_exact_dedup": r"""
+        WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
+            sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents)
+        SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+            row_number() OVER w = 1 AS kept, text_sha256
+        FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)""",
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
