@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook.llm import exact, simhash
+from daybook.llm import exact, licenses, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_scan(table(spark, folder, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = exact.exact_duplicates(docs, locator=F.col("_metadata.file_path"))
@@ -24,8 +28,9 @@ def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-_ALL = [op2_exact_dedup, op6_simhash_near_dedup]
+_ALL = [op1_license_scan, op2_exact_dedup, op6_simhash_near_dedup]
 _SQL: dict[str, str] = {
+    "op1_license_scan": licenses.license_sql(),
     "op2_exact_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
             sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents)
