@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook.llm import exact, licenses, simhash
+from daybook.llm import exact, lengths, licenses, packing, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,12 +23,27 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Where a public vocabulary is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return lengths.length_histogram(lengths.encoded_lengths(table(spark, folder, "documents"), vocabulary()))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-_ALL = [op1_license_scan, op2_exact_dedup, op6_simhash_near_dedup]
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), vocabulary())
+
+
+_ALL = [op1_license_scan, op2_exact_dedup, op5_token_counts, op6_simhash_near_dedup, op8_packing]
 _SQL: dict[str, str] = {
     "op1_license_scan": licenses.license_sql(),
     "op2_exact_dedup": r"""
