@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook.llm import exact, lengths, licenses, packing, simhash
+from daybook.llm import decontaminate, exact, lengths, licenses, packing, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,12 +39,38 @@ def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(names, 256).alias("items_sha256"), "contaminated")
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), vocabulary())
 
 
-_ALL = [op1_license_scan, op2_exact_dedup, op5_token_counts, op6_simhash_near_dedup, op8_packing]
+_ALL = [op1_license_scan, op2_exact_dedup, op5_token_counts, op6_simhash_near_dedup,
+        op7_benchmark_decontamination, op8_packing]
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 _SQL: dict[str, str] = {
+    "op7_benchmark_decontamination": f"""
+        WITH b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        win AS (SELECT DISTINCT item_id, array_to_string(w[p + 1:p + 13], ' ') AS g, least(len(w), 13) AS n
+            FROM (SELECT *, unnest(range(greatest(len(w) - 12, 1))) AS p FROM b WHERE len(w) > 0)),
+        d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        g AS (SELECT doc_id, n, p, array_to_string(w[p + 1:p + n], ' ') AS g
+            FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS p
+                FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+        m AS (SELECT doc_id, item_id, p, n FROM g JOIN win USING (g, n)),
+        h AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM m) GROUP BY doc_id),
+        i AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+            string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS names FROM m GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(names, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)""",
     "op1_license_scan": licenses.license_sql(),
     "op2_exact_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
