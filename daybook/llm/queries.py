@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook.llm import decontaminate, exact, lengths, licenses, packing, simhash, warc
+from daybook.llm import decontaminate, exact, lengths, licenses, packing, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,12 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.with_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select("doc_id", toxicity.is_held_out("doc_id").alias("held_out"), "score").withColumn(
+        "predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     """Where a public vocabulary is installed."""
     import public_tokenizers
@@ -54,7 +60,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(table(spark, folder, "pages"))
 
 
-_ALL = [op1_license_scan, op2_exact_dedup, op5_token_counts, op6_simhash_near_dedup,
+_ALL = [op1_license_scan, op2_exact_dedup, op4_toxicity, op5_token_counts, op6_simhash_near_dedup,
         op7_benchmark_decontamination, op8_packing, op10_warc]
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
