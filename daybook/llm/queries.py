@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook.llm import decontaminate, exact, lengths, licenses, packing, simhash, toxicity, warc
+from daybook.llm import decontaminate, exact, lengths, licenses, mixing, packing, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,12 +56,16 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), vocabulary())
 
 
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.language_model_scores(table(spark, folder, "documents"))
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(table(spark, folder, "pages"))
 
 
 _ALL = [op1_license_scan, op2_exact_dedup, op4_toxicity, op5_token_counts, op6_simhash_near_dedup,
-        op7_benchmark_decontamination, op8_packing, op10_warc]
+        op7_benchmark_decontamination, op8_packing, op9_lm_scoring, op10_warc]
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 _SQL: dict[str, str] = {
