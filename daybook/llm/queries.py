@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook.llm import decontaminate, exact, lengths, licenses, mixing, packing, simhash, toxicity, warc
+from daybook.llm import decontaminate, exact, extract, lengths, licenses, mixing, packing, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = extract.with_main_text(table(spark, folder, "pages"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.col("main_chars").alias("n_chars"))
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.with_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return scored.select("doc_id", toxicity.is_held_out("doc_id").alias("held_out"), "score").withColumn(
@@ -64,7 +69,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(table(spark, folder, "pages"))
 
 
-_ALL = [op1_license_scan, op2_exact_dedup, op4_toxicity, op5_token_counts, op6_simhash_near_dedup,
+_ALL = [op1_license_scan, op2_exact_dedup, op3_html_extraction, op4_toxicity, op5_token_counts, op6_simhash_near_dedup,
         op7_benchmark_decontamination, op8_packing, op9_lm_scoring, op10_warc]
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
