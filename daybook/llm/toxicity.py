@@ -308,11 +308,14 @@ def is_held_out(id_col: str | Column, folds: int = 3, fold: int = 1) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int) -> list[tuple[str, int]]:
     """At most ``most`` texts of either label, those of the smallest hashes of their ids, outside the held-out fold."""
-    known = labels.filter(F.col(label_col).isNotNull() & ~is_held_out(id_col)).groupBy(id_col).agg(F.max(label_col).alias("_y"))
-    order = [F.xxhash64(id_col), F.col(id_col)]
+    known = labels.select(F.col(id_col).alias("_k"), F.col(label_col).alias("_y")).filter(
+        F.col("_y").isNotNull() & ~is_held_out("_k")).groupBy("_k").agg(F.max("_y").alias("_y"))
+    order = [F.xxhash64("_k"), F.col("_k")]
     chosen = [known.filter(side).orderBy(*order).limit(most) for side in (F.col("_y") == 1, F.col("_y") != 1)]
     # Twice ``most`` rows of an id and a label.
-    rows = docs.join(F.broadcast(chosen[0].unionByName(chosen[1])), id_col).select(id_col, whole(text_col), "_y")
+    texts = docs.select(F.col(id_col).alias("_k"), whole(text_col).alias("_t"))
+    rows = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "_k").select("_k", "_t", "_y")
+    rows = rows.dropDuplicates(["_k"])
     return [(t, int(y == 1)) for _, t, y in sorted(rows.collect(), key=lambda r: (str(r[0]), r[1]))]
 
 
