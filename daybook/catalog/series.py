@@ -23,6 +23,35 @@ def running_max(t):
     return rows.select("exercise_name", "date", "set_order", rounded("cummax"))
 
 
+# NaN in place of every fifth order line's weight; in SQL it is NULL from the start.
+_NAN_SQL = """SELECT * REPLACE (CASE WHEN set_order % 5 <> 0 THEN one_rep_max END AS one_rep_max) FROM rated"""
+
+
+def _with_nan(t):
+    nan = F.when(F.col("set_order") % 5 == 0, F.lit(float("nan")))
+    return t.sets.withColumn("weight", F.coalesce(nan, "weight")).withColumn("body_mass", F.coalesce(nan, "body_mass"))
+
+
+@query(f"""WITH r AS ({_NAN_SQL}) SELECT exercise_name, date, set_order, CASE WHEN max(one_rep_max) OVER (PARTITION BY
+    exercise_name, date) IS NOT NULL THEN round(max(one_rep_max) OVER (PARTITION BY exercise_name ORDER BY date
+    RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) END AS cummax FROM r""")
+def running_max_nan(t):
+    nan = F.when(F.col("set_order") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("one_rep_max"))
+    rows = windows.with_series_maxima(t.rated_sets.withColumn("one_rep_max", nan), "one_rep_max", _SERIES, {"cummax": None})
+    return rows.select("exercise_name", "date", "set_order", rounded("cummax"))
+
+
+@query(f"""WITH r AS ({_NAN_SQL}) SELECT * FROM (SELECT date, exercise_name, reps, round(one_rep_max, 6) AS one_rep_max,
+    round(max(one_rep_max) OVER (PARTITION BY exercise_name ORDER BY date
+        RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS cummax_one_rep_max,
+    round(max(one_rep_max) OVER (PARTITION BY exercise_name ORDER BY date
+        RANGE BETWEEN INTERVAL 89 DAYS PRECEDING AND CURRENT ROW), 6) AS rolling_90d_max FROM r) WHERE one_rep_max > 0""")
+def strength_metrics_nan(t):
+    rows = strength_job(_with_nan(t), unweighted=UNWEIGHTED)
+    return rows.select("date", "exercise_name", "reps", rounded("one_rep_max"),
+                       rounded("cummax_one_rep_max"), rounded("rolling_90d_max"))
+
+
 @query("""SELECT exercise_name, date, set_order, round(max(one_rep_max) OVER (PARTITION BY exercise_name
     ORDER BY date RANGE BETWEEN INTERVAL 89 DAYS PRECEDING AND CURRENT ROW), 6) AS rolling_90d_max FROM rated""")
 def trailing_max_90d(t):
@@ -156,6 +185,24 @@ def weight_series(t):
     return weight.select("user_id", "date", approx("body_mass"))
 
 
+@query(f"""WITH mass AS (SELECT user_id, date, event_id, CASE WHEN value > 5 THEN value END AS value FROM readings
+        WHERE event_type = 'signup'),
+    spine AS (SELECT user_id, CAST(unnest(generate_series(min(date), DATE '{AS_OF}', INTERVAL 1 DAY)) AS DATE)
+        AS date FROM mass GROUP BY user_id),
+    filled AS (SELECT s.user_id, s.date, event_id, value FROM spine s LEFT JOIN mass r
+        ON r.user_id = s.user_id AND r.date = s.date),
+    last AS (SELECT user_id, date, last_value(value IGNORE NULLS) OVER (PARTITION BY user_id
+        ORDER BY date, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value FROM filled)
+    SELECT user_id, date, round(min(2.20462 * value), 9) AS body_mass FROM last GROUP BY 1, 2""")
+def weight_series_ffill(t):
+    readings = t.readings.select(
+        "user_id", "date", "event_id", F.col("event_type").alias("type"),
+        F.when(F.col("value") > 5, F.col("value")).alias("value"),
+    )
+    weight = daily_weight(readings, AS_OF, "ffill", keys=["user_id"], order=["event_id"], kind="signup")
+    return weight.select("user_id", "date", rounded("body_mass", 9))
+
+
 @query("""WITH f AS (SELECT user_id, min(date) FILTER (WHERE click IS NOT NULL) AS c,
         min(date) FILTER (WHERE view IS NOT NULL) AS v FROM user_days GROUP BY 1)
     SELECT user_id, date, CASE WHEN click IS NULL AND date > c THEN 1.0::DOUBLE ELSE click END AS click,
@@ -185,6 +232,21 @@ def ewma_by_metric(t):
     return trend.select("user_id", "date", "metric", "value", "positive_value", approx("exp_moving_avg"), "label")
 
 
+@query(f"""WITH m AS (SELECT user_id, event_id, date, event_type AS metric, value FROM readings
+        WHERE event_type IN ('click', 'view') AND value IS NOT NULL AND event_id % 7 <> 0),
+    k AS (SELECT a.event_id, sum(b.value * exp(-{_TREND_EPS} * abs(a.date - b.date)))
+        / sum(exp(-{_TREND_EPS} * abs(a.date - b.date))) AS avg
+        FROM m a JOIN m b ON a.user_id = b.user_id AND a.metric = b.metric GROUP BY 1)
+    SELECT user_id, date, metric, value, {approx_sql("avg")} AS exp_moving_avg FROM m JOIN k USING (event_id)""")
+def ewma_nan(t):
+    """Every seventh value is NaN."""
+    scores = t.readings.select(
+        "user_id", "date", F.col("event_type").alias("metric"), F.lit("").alias("note"),
+        F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
+    trend = metric_trend(scores, ["click", "view"], _TREND_EPS, ["user_id"])
+    return trend.select("user_id", "date", "metric", "value", approx("exp_moving_avg"))
+
+
 @query(f"""WITH a AS (SELECT event_type, avg(value) AS mean FROM events GROUP BY 1),
     d AS (SELECT event_type AS metric, CAST(ts AS DATE) AS date, sum(value - mean) AS value
         FROM events JOIN a USING (event_type) GROUP BY 1, 2),
@@ -261,6 +323,24 @@ def interval_enrich_spans(t):
     return rows.select("user_id", "event_id", approx("click_mean"), rounded("view_sum"))
 
 
+@query(f"""WITH v AS (SELECT * REPLACE (CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_id % 97 = 0 THEN 1e18 ELSE value END AS value)
+        FROM events),
+    w AS (SELECT user_id, event_id, ts AS s, ts + INTERVAL 1 HOUR AS e FROM events WHERE event_type = 'signup')
+    SELECT w.user_id, w.event_id, {approx_sql("avg(m.value) FILTER (WHERE m.event_type = 'click')")} AS click_mean,
+    {approx_sql("CASE WHEN count(*) FILTER (WHERE m.event_type = 'view') > 0 THEN coalesce(sum(m.value) FILTER (WHERE m.event_type = 'view'), 0) END")}
+        AS view_sum
+    FROM w LEFT JOIN v m ON m.user_id = w.user_id AND m.ts BETWEEN w.s AND w.e GROUP BY 1, 2""")
+def interval_enrich_outliers(t):
+    """Some values are huge and some missing; neither may touch an interval that does not hold them."""
+    value = F.when(F.col("event_id") % 89 == 0, F.lit(None)).when(F.col("event_id") % 97 == 0, 1e18).otherwise(F.col("value"))
+    wanted = {"click_mean": ("click", "avg"), "view_sum": ("view", "sum")}
+    signups = t.events.where(F.col("event_type") == "signup").select(
+        "user_id", "event_id", F.col("ts").alias("start"), (F.col("ts") + F.expr("interval 1 hour")).alias("end"))
+    events = t.events.select("user_id", "event_type", F.col("ts").alias("start"), value.alias("value"))
+    rows = joins.enrich_intervals(signups, events, wanted, ["user_id"], m_end=None, kind="event_type")
+    return rows.select("user_id", "event_id", approx("click_mean"), approx("view_sum"))
+
+
 @query("""WITH m AS (SELECT max(event_id) AS m FROM events)
     SELECT event_id, DATE '2024-02-05' - CAST(m - event_id AS INTEGER) AS date,
     strftime(DATE '2024-02-05' - CAST(m - event_id AS INTEGER), '%Y-%m-%d') AS date_text FROM events, m""")

@@ -225,7 +225,7 @@ def _diary(t):
         "user_id", F.col("ID").alias("SYMPTOM"), F.datediff("date", F.lit("2024-01-01").cast("date")).alias("ENTRY"),
         F.when(F.col("level") > 0, F.col("level")).alias("VALUE"), "event_id")
     # One ordinal scale for everybody, so that the last day is the same for all users.
-    return diary_wide(main, kinds.select("ID", "NAME"), entries, _DIARY_AS_OF, ["user_id"], _NAMES, "event_id")
+    return diary_wide(main, kinds.select("ID", "NAME"), entries, _DIARY_AS_OF, ["user_id"], None, "event_id")
 
 
 def _after_first(col: str, src: str | None = None) -> str:

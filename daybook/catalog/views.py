@@ -77,3 +77,12 @@ def heatmap_side(t):
 def heatmap_series(t):
     tiles = activity_heatmap(_lifts(t), None, "Volume", "exercise_name", 2)
     return tiles.withColumn("Volume", approx("Volume"))
+
+
+@query(_heat_sql("exercise_name", "sum(one_rep_max)", "Volume", 2,
+                 "WHERE exercise_name IN (SELECT exercise_name FROM n WHERE r <= 10)",
+                 _case((300, "0-300"), (1000, "300-1000"), (3000, "1000-3000"), (10000, "3000-10000"), last="10000+"), _TITLE, False))
+def heatmap_series_classes(t):
+    """A set counts once per class of its exercise."""
+    tiles = activity_heatmap(_lifts(t), t.classes, "Volume", "exercise_name", 2)
+    return tiles.withColumn("Volume", approx("Volume"))

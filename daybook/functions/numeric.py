@@ -17,6 +17,7 @@ def to_number(text: Column) -> Column:
 
 
 def null_if_nan(col: Column) -> Column:
+    """The number, NULL for NaN: a missing value in every operator."""
     return F.when(~F.isnan(col), col)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from daybook.functions.dates import DateLike, date_lit, day_number
+from daybook.functions.numeric import null_if_nan
 
 _ONE_DAY = "interval 1 day"
 
@@ -86,6 +87,7 @@ def _with_known_neighbours(df: DataFrame, value: str, keys: Sequence[str], date:
     rows, or one key's days, at a time.  Key and date travel as one struct, which is never
     NULL, so both levels use the same shuffle of the rows.
     """
+    df = df.withColumn(value, null_if_nan(F.col(value)))
     names = [*keys, date]
     others = [F.col(f"`{c}`") for c in df.columns if c not in names]
     in_day = W.partitionBy("_day")

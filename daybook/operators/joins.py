@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from daybook.operators.windows import repeat_rows
+from daybook.functions.numeric import null_if_nan
 
 # output column -> (kind of measurement, "avg" | "sum")
 Wanted = Mapping[str, tuple[str, str]]
@@ -37,36 +37,31 @@ def full_outer_daily(days: DataFrame, rows: DataFrame, on: Sequence[str], fill:
     return matched.unionByName(alone, allowMissingColumns=True).fillna(dict(fill))
 
 
+# Blocks of time hold 2 ** _BITS blocks of the next finer kind; the finest are microseconds.
+_BITS = 3
+
+
 def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Wanted,
                      keys: Sequence[str] = (), start: str = "start", end: str = "end",
                      m_start: str = "start", m_end: str | None = "end", kind: str = "type",
-                     value: str = "value", bucket_seconds: int = 3_600) -> DataFrame:
+                     value: str = "value") -> DataFrame:
     """Average or sum of the measurements lying inside each interval; NULL where none do.
 
     A measurement lies inside when it starts at or after the interval's start and ends at or
-    before its end.  Time is cut into buckets (hours by default), and rather than pairing
-    intervals with measurements this adds up, per interval from bucket ``s`` to bucket ``e``,
-
-        + those ending in bucket e by the interval's end      (a running total, read at the end)
-        + those ending in the buckets s .. e-1                (bucket totals)
-        - those starting in bucket s before the start         (a running total, read at the start)
-        - those open when bucket s begins                     (totals of measurements over buckets)
-        + those starting before the start and ending after the end
-
-    Equal intervals, and measurements of one key and time, are merged before anything is
-    sorted; then a task sorts one key's distinct times of one bucket at a time, so neither
-    a busy key, copies, nor overlapping intervals multiply rows, and every total is as local
-    as the interval.  ``m_end=None`` declares instantaneous measurements, for which the last
-    two lines are always empty.
+    before its end; one that ends before it starts lies in none.  NaN counts as NULL.
+    ``m_end=None`` declares instantaneous measurements.
+
+    An interval is cut into aligned blocks of time, few of each size, and reads one total
+    per block: of the block's instants, or of the measurements that end in the block and
+    start no earlier than the interval (a running total in descending order of their start).
+    Totals are only ever added, so a value outside an interval cannot touch it, and nothing
+    is paired: measurements and intervals become rows by the number of block sizes.  Only
+    blocks that some interval reads are totalled, so a task sorts at most one key's distinct
+    times of one block that fits into the longest interval.  Intervals of equal keys, start
+    and end are looked up once; whole rows meet the totals in a single join.
     """
-    two = m_end is not None
-    zoneless = intervals.schema[start].dataType.typeName() == "timestamp_ntz"
-
-    def bucket_of(ts: str) -> Column:
-        return F.floor(_seconds(F.col(ts), zoneless, whole=True) / bucket_seconds)
-
     # Per kind: summed value (x), non-NULL values (n), rows (r).
-    v = F.col(value).cast("double")
+    v = null_if_nan(F.col(value).cast("double"))
     kinds = list(dict.fromkeys(k for k, _ in wanted.values()))
     totals: dict[str, Column] = {}
     for i, k in enumerate(kinds):
@@ -74,66 +69,38 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
         totals[f"_x_{i}"] = F.when(mine & v.isNotNull(), v).otherwise(0.0)
         totals[f"_n_{i}"] = (mine & v.isNotNull()).cast("bigint")
         totals[f"_r_{i}"] = mine.cast("bigint")
-    usable = measurements.where(
-        F.col(kind).isin(kinds) & F.col(m_start).isNotNull() & F.col(m_end or m_start).isNotNull()
+    sums = [F.sum(t).alias(t) for t in totals]
+    on = [*keys, "_level", "_block"]
+
+    micros = _micros(F.col(m_end or m_start), measurements.schema[m_end or m_start].dataType.typeName())
+    begin = _micros(F.col(m_start), measurements.schema[m_start].dataType.typeName())
+    wide = (
+        measurements.where(F.col(kind).isin(kinds))
+        .groupBy(*keys, begin.alias("_ms"), micros.alias("_me"))
+        .agg(*[F.sum(c).alias(t) for t, c in totals.items()])
+        .where("_ms <= _me")
     )
-    wide = usable.groupBy(
-        *keys, F.col(m_start).alias("_ms"), F.col(m_end or m_start).alias("_me")
-    ).agg(*[F.sum(c).alias(t) for t, c in totals.items()])
-    distinct = intervals.groupBy(*[F.col(f"`{c}`") for c in intervals.columns]).agg(
-        F.count("*").alias("_copies"))
-    zeros = [F.lit(0).cast("double" if t.startswith("_x") else "bigint").alias(t) for t in totals]
-    whole_row = F.struct(*[F.col(f"`{c}`").alias(c) for c in distinct.columns]).alias("_iv")
-    packed = distinct.select(
-        *keys, F.col(start).alias("_s"), F.col(end).alias("_e"), bucket_of(start).alias("_bs"),
-        bucket_of(end).alias("_be"), whole_row,
-    )
-
-    # Timelines: side 1 orders measurements by their end, side 0 by their start.  Where both
-    # are the same instant, one timeline serves both edges.
-    def at(side: int, ts: str, **more: int) -> Column:
-        return F.struct(F.lit(side).alias("_side"), F.col(ts).alias("_t"),
-                        *[F.lit(x).alias(n) for n, x in more.items()])
-
-    sides = [at(1, "_me")] + ([at(0, "_ms")] if two else [])
-    points = wide.select(
-        *keys, F.lit(None).cast(packed.schema["_iv"].dataType).alias("_iv"), F.lit(1).alias("_ord"),
-        F.lit(0).alias("_sign"), *totals, F.inline(F.array(*sides)))
-    # An interval's start reads the total before its instant, its end the total after it.
-    edge = F.array(at(0 if two else 1, "_s", _ord=0, _sign=-1), at(1, "_e", _ord=2, _sign=1))
-    edges = packed.select(*keys, "_iv", F.inline(edge), *zeros)
-    line = points.unionByName(edges).withColumn("_bucket", bucket_of("_t"))
-    inside = W.partitionBy(*keys, "_side", "_bucket").orderBy("_t", "_ord").rowsBetween(
-        W.unboundedPreceding, 0)
-    read = (
-        line.select("_sign", "_iv", *[F.sum(t).over(inside).alias(t) for t in totals])
-        .where("_sign != 0")
-        .select("_iv", *[(F.col("_sign") * F.col(t)).alias(t) for t in totals])
-    )
-
-    def summed(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*keys, "_bucket").agg(*[F.sum(t).alias(t) for t in totals])
-
-    def part(rows: DataFrame, sign: int = 1) -> DataFrame:
-        return rows.select("_iv", *[(sign * F.col(t)).alias(t) for t in totals])
-
-    on = [*keys, "_bucket"]
-    ended = summed(wide.withColumn("_bucket", bucket_of("_me")))
-    crossing = packed.where("_bs < _be").select(
-        *keys, "_iv", F.explode(F.expr("sequence(_bs, _be - 1)")).alias("_bucket"))
-    read = read.unionByName(part(crossing.join(ended, on)))
-    if two:
-        lasting = wide.withColumns({"_b0": bucket_of("_ms"), "_b1": bucket_of("_me")})
-        opened = summed(lasting.where("_b0 < _b1").withColumn("_bucket", F.explode(F.expr("sequence(_b0 + 1, _b1)"))))
-        starting = packed.withColumnRenamed("_bs", "_bucket")
-        read = read.unionByName(part(starting.join(opened, on), -1))
-        read = read.unionByName(part(_spanning(starting, lasting, on, zoneless)))
-
-    in_order = F.col(f"_iv.{start}") <= F.col(f"_iv.{end}")
-    for k in keys:
-        in_order = in_order & F.col(f"_iv.{k}").isNotNull()
-    sums = read.groupBy("_iv").agg(*[F.sum(t).alias(t) for t in totals]).select(
-        "_iv", *[F.when(in_order, F.col(t)).alias(t) for t in totals])
+    looked_up = intervals.select(*keys, start, end).distinct().select(
+        "*", _micros(F.col(start), intervals.schema[start].dataType.typeName()).alias("_s"),
+        _micros(F.col(end), intervals.schema[end].dataType.typeName()).alias("_e"),
+    ).where("_s <= _e")
+    pieces = _pieces(looked_up)
+    # No block is longer than the longest interval.
+    top = looked_up.agg(F.expr(f"coalesce(cast((length(bin(max(_e - _s) + 1)) - 1) div {_BITS} as int), 0)"))
+    levelled = wide.select("*", F.explode(F.sequence(F.lit(0), top.scalar())).alias("_level")).withColumn(
+        "_block", F.expr(f"shiftright(_me, {_BITS} * _level)"))
+    of_interval = [*keys, start, end]
+    if m_end is None:
+        read = pieces.join(levelled.groupBy(*on).agg(*sums), on)
+    else:
+        used = levelled.join(pieces.select(*on).distinct(), on, "left_semi")
+        points = used.select(*on, F.col("_ms").alias("_at"), F.lit(0).alias("_read"), *totals)
+        zeros = [F.lit(0).cast("double" if t.startswith("_x") else "bigint").alias(t) for t in totals]
+        reads = pieces.select(*on, start, end, F.col("_s").alias("_at"), F.lit(1).alias("_read"), *zeros)
+        later = W.partitionBy(*on).orderBy(F.desc("_at"), "_read").rowsBetween(W.unboundedPreceding, 0)
+        line = points.unionByName(reads, allowMissingColumns=True)
+        read = line.select(*keys, start, end, "_read", *[F.sum(t).over(later).alias(t) for t in totals]).where("_read = 1")
+    found = read.groupBy(*of_interval).agg(*sums)
     out = []
     for name, (k, how) in wanted.items():
         x, n, r = (F.col(f"_{c}_{kinds.index(k)}") for c in "xnr")
@@ -141,27 +108,31 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
             out.append(F.when(n > 0, x / n).alias(name))
         else:
             out.append(F.when((r > 0) & (n == 0), F.lit(0.0)).when(n > 0, x).alias(name))
-    return repeat_rows(sums.select("_iv.*", *out), "_copies")
-
-
-def _spanning(starting: DataFrame, lasting: DataFrame, on: Sequence[str], zoneless: bool) -> DataFrame:
-    """Measurements that start before and end after an interval, beside that interval.
-
-    Only measurements longer than the shortest interval starting in a bucket they cover
-    take part; that test is an equi-join with one row per bucket.
-    """
-    def length(a: str, b: str) -> Column:
-        return _seconds(F.col(b), zoneless) - _seconds(F.col(a), zoneless)
-
-    shortest = starting.groupBy(*on).agg(F.min(length("_s", "_e")).alias("_shortest"))
-    covering = lasting.where("_ms < _me").withColumn("_bucket", F.explode(F.expr("sequence(_b0, _b1)")))
-    able = covering.join(shortest, on).where(length("_ms", "_me") > F.col("_shortest"))
-    return able.join(starting, on).where("_ms < _s AND _me > _e")
-
-
-def _seconds(ts: Column, zoneless: bool, whole: bool = False) -> Column:
-    """Seconds, increasing with ``ts`` in every session time zone."""
-    if not zoneless:
-        return F.unix_seconds(ts) if whole else F.unix_micros(ts) / 1_000_000
-    second = F.second(ts) if whole else F.date_part(F.lit("SECOND"), ts).cast("double")
-    return F.unix_date(F.to_date(ts)).cast("bigint") * 86_400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + second
+    return intervals.join(found, of_interval, "left").select(*[F.col(f"`{c}`") for c in intervals.columns], *out)
+
+
+def _pieces(intervals: DataFrame) -> DataFrame:
+    """(_level, _block) of the fewest aligned blocks that make up ``_s`` .. ``_e``, as rows."""
+    levels = F.expr(f"sequence(0, cast((length(bin(_e - _s + 1)) - 1) div {_BITS} as int))")
+    # Blocks of a level that lie inside: _lo up to _hi; those of the next level: _lo1 up to _hi1.
+    inside = intervals.select("*", F.explode(levels).alias("_level")).selectExpr(
+        "*",
+        f"shiftright(_s + shiftleft(1L, {_BITS} * _level) - 1, {_BITS} * _level) as _lo",
+        f"shiftright(_e + 1, {_BITS} * _level) as _hi",
+        f"shiftright(_s + shiftleft(1L, {_BITS} * (_level + 1)) - 1, {_BITS} * (_level + 1)) as _lo1",
+        f"shiftright(_e + 1, {_BITS} * (_level + 1)) as _hi1",
+    ).where("_lo < _hi")
+    size = 1 << _BITS
+    own = F.expr(f"""if(_lo1 >= _hi1, sequence(_lo, _hi - 1), concat(
+        if(_lo < _lo1 * {size}, sequence(_lo, _lo1 * {size} - 1), cast(array() as array<bigint>)),
+        if(_hi1 * {size} < _hi, sequence(_hi1 * {size}, _hi - 1), cast(array() as array<bigint>))))""")
+    return inside.select("*", F.explode(own).alias("_block")).drop("_lo", "_hi", "_lo1", "_hi1")
+
+
+def _micros(ts: Column, kind: str) -> Column:
+    """Microseconds, increasing with ``ts`` in every session time zone."""
+    if kind == "timestamp":
+        return F.unix_micros(ts)
+    day = F.unix_date(F.to_date(ts)).cast("bigint")
+    second = (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+    return ((day * 24 + F.hour(ts)) * 60 + F.minute(ts)) * 60_000_000 + second

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from daybook.functions.dates import day_number
+from daybook.functions.numeric import null_if_nan
 
 # Exponents inside a block stay below this, far from the limits of a double; a day's
 # weight two blocks away is below e**-_REACH, which vanishes beside its own weight of 1.
@@ -19,9 +20,11 @@ def ewma_by_day(df: DataFrame, value: str, epsilon: float, keys: Sequence[str] =
 
     Rows are first reduced to (sum, count) per day.  Days are grouped in blocks; inside a
     block the two one-sided sums are scaled running sums, and a neighbouring block adds
-    its total, so the cost is a sort of the days and not a pairing of them.
+    its total, so the cost is a sort of the days and not a pairing of them.  NaN counts as
+    NULL.  Blocks further away are left out: their rows weigh less than e**-300 of a row of the
+    day itself, which no double can show unless values differ by a factor beyond 1e100.
     """
-    known = F.col(value).isNotNull()
+    known = null_if_nan(F.col(value)).isNotNull()
     days = df.where(known).groupBy(*keys, date).agg(
         F.sum(value).alias("_x"), F.count("*").cast("double").alias("_n")
     )

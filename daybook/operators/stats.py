@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from daybook.functions.numeric import null_if_nan
+from daybook.operators.windows import numbered
 
 
 def attach(df: DataFrame, keys: Sequence[str], source: DataFrame | None = None, **aggs: Column) -> DataFrame:
@@ -32,9 +35,9 @@ def distinct_keys(df: DataFrame, cols: Sequence[str], ordered: bool = False) ->
 
 def daily(df: DataFrame, value: str, how: str, keys: Sequence[str] = (), date: str = "date",
           out: str | None = None) -> DataFrame:
-    """Daily ``min``, ``max`` or ``sum`` of a column per key; NULLs are skipped."""
+    """Daily ``min``, ``max`` or ``sum`` of a column per key; NULL and NaN are skipped."""
     agg = {"min": F.min, "max": F.max, "sum": F.sum}[how]
-    return df.groupBy(*keys, date).agg(agg(value).alias(out or value))
+    return df.groupBy(*keys, date).agg(agg(null_if_nan(F.col(value))).alias(out or value))
 
 
 def mode_or_unclear(df: DataFrame, keys: Sequence[str], cols: Sequence[str], unclear: str) -> DataFrame:
@@ -91,6 +94,5 @@ def order_by_median(df: DataFrame, category: str, value: str, keys: Sequence[str
     ``df`` is an aggregated table (one row per bin and category), so a category has at
     most as many values as there are bins.
     """
-    medians = df.groupBy(*keys, category).agg(F.median(value).alias("median"))
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy("median", category))
-    return medians.withColumn(out, rank)
+    medians = df.groupBy(*keys, category).agg(F.median(null_if_nan(F.col(value))).alias("median"))
+    return numbered(medians, "median", category, out, keys)

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from daybook.functions.dates import day_number
+from daybook.functions.numeric import null_if_nan
 from daybook.operators.settle import settle
 
 
@@ -15,9 +16,9 @@ def series_maxima(df: DataFrame, value: str, series: Sequence[str], spans: Mappi
     """Daily maximum per series plus, per entry of ``spans``, the maximum over that many days.
 
     A span of ``None`` reaches back to the start; ``n`` covers ``(d - n, d]``.  A day whose
-    values are all NULL gets NULL.
+    values are all NULL gets NULL; NaN counts as NULL.
     """
-    days = df.groupBy(*series, date).agg(F.max(value).alias("daily_max"))
+    days = df.groupBy(*series, date).agg(F.max(null_if_nan(F.col(value))).alias("daily_max"))
     by_day = W.partitionBy(*series).orderBy(day_number(F.col(date)))
     cols = []
     for name, span in spans.items():
@@ -50,26 +51,58 @@ def best_in_span(df: DataFrame, value: str, series: Sequence[str], days: int = 3
 
 def group_max_rows(df: DataFrame, value: str, group: Sequence[str]) -> DataFrame:
     """Rows equal to their group's maximum, ties kept."""
-    tops = df.groupBy(*group).agg(F.max(value).alias("_top"))
-    return df.join(tops, list(group)).where(F.col(value) >= F.col("_top")).drop("_top")
+    tops = df.groupBy(*group).agg(F.max(null_if_nan(F.col(value))).alias("_top"))
+    return df.join(tops, list(group)).where(null_if_nan(F.col(value)) >= F.col("_top")).drop("_top")
 
 
 def running_sum(days: DataFrame, value: str, series: Sequence[str], out: str,
                 date: str = "date") -> DataFrame:
     """Running sum over a table with one row per series and day."""
     w = W.partitionBy(*series).orderBy(date).rowsBetween(W.unboundedPreceding, 0)
-    return days.withColumn(out, F.sum(value).over(w))
+    return days.withColumn(out, F.sum(null_if_nan(F.col(value))).over(w))
 
 
 def top_k_with_ties(df: DataFrame, series: str, k: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Series on the most rows of ``df``: rank <= k, ties kept.
+    """Series on the most rows of ``df``: rank <= k, ties kept."""
+    return ranked_with_ties(df.groupBy(*keys, series).agg(F.count("*").alias("n")), "n", k, keys)
 
-    The rank filter is applied before the shuffle too (window group limit), so a task
-    receives only candidates, not every series.
+
+def ranked_with_ties(counts: DataFrame, n: str, k: int, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows whose ``rank`` by descending ``n`` is at most ``k``.
+
+    Only distinct values of ``n`` are ranked, k of them at most (the limit is applied before
+    the shuffle too), so any number of tied rows stay where they are.
     """
-    counts = df.groupBy(*keys, series).agg(F.count("*").alias("n"))
-    rank = F.rank().over(W.partitionBy(*keys).orderBy(F.desc("n")))
-    return counts.withColumn("rank", rank).where(F.col("rank") <= k)
+    sizes = counts.groupBy(*keys, n).agg(F.count("*").alias("_tied"))
+    falling = W.partitionBy(*keys).orderBy(F.desc(n))
+    first = sizes.withColumn("_nth", F.row_number().over(falling)).where(F.col("_nth") <= k)
+    above = F.coalesce(F.sum("_tied").over(falling.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ranks = first.withColumn("rank", (above + 1).cast("int")).where(F.col("rank") <= k).drop("_tied", "_nth")
+    return counts.join(ranks, [*keys, n]).select(*[F.col(f"`{c}`") for c in counts.columns], "rank")
+
+
+def numbered(df: DataFrame, value: str, name: str, out: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows numbered from 1 by ascending (``value``, ``name``) per key; NULL and NaN values come first.
+
+    Rows are counted by value and the first two letters of their name, and counts are added
+    up in bins of near values; then rows are numbered among those of their value and letters.
+    No task orders all rows of a key.
+    """
+    v = F.coalesce(null_if_nan(F.col(value).cast("double")), F.lit(float("-inf")))
+    # One struct for all keys is never NULL, so that NULL keys meet in the join.
+    rows = df.select("*", F.struct(F.lit(0).alias("_all"), *keys).alias("_k"), v.alias("_v"),
+                     F.substring(F.coalesce(F.col(name), F.lit("")), 1, 2).alias("_letters"))
+    rows = rows.withColumn("_bin", F.floor(F.signum("_v") * F.log1p(F.abs("_v")) * 16).cast("long"))
+    place = ["_k", "_bin", "_v", "_letters"]
+    counts = rows.groupBy(*place).agg(F.count("*").alias("_n"))
+    before = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    bins = counts.groupBy("_k", "_bin").agg(F.sum("_n").alias("_n")).select(
+        "_k", "_bin", F.coalesce(F.sum("_n").over(before(W.partitionBy("_k").orderBy("_bin"))), F.lit(0)).alias("_far"))
+    near = F.coalesce(F.sum("_n").over(before(W.partitionBy("_k", "_bin").orderBy("_v", "_letters"))), F.lit(0))
+    offsets = counts.select(*place, near.alias("_near")).join(bins, ["_k", "_bin"])
+    number = F.row_number().over(W.partitionBy(*place).orderBy(name)) + F.col("_near") + F.col("_far")
+    return rows.join(offsets, place).select(*[F.col(f"`{c}`") for c in df.columns], number.cast("int").alias(out))
+
 
 
 def restrict_to_top(df: DataFrame, series: str, k: int, keys: Sequence[str] = ()) -> DataFrame:

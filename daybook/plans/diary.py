@@ -20,21 +20,28 @@ _DATE_TEXT = "date_(yyyy-mm-dd)"
 
 
 def symptom_days(symptoms: DataFrame, entries: DataFrame, as_of: DateLike, keys: Sequence[str] = (),
-                 names: Sequence[str] = config.DIARY_SYMPTOMS, order: str = "row_order") -> DataFrame:
+                 names: Sequence[str] | None = None, order: str = "row_order") -> DataFrame:
     """One row per day with a column per symptom; day ordinals end at ``as_of``.
 
+    Without ``names`` every name of the definitions (a small table, which is read for this)
+    and every known one has a column.  Definitions with key columns are a person's own.
+
     ``order`` is the entry column that decides between two entries for one day and symptom.
     """
+    own = [k for k in keys if k in symptoms.columns]
     defs = symptoms.select(
-        F.col("ID").alias("SYMPTOM"),
+        *own, F.col("ID").alias("SYMPTOM"),
         F.lower(F.regexp_replace("NAME", r"\s+", "_")).alias("_name"),
     )
+    if names is None:
+        defined = {r[0] for r in defs.where("_name IS NOT NULL").select("_name").distinct().collect()}
+        names = [*config.DIARY_SYMPTOMS, *sorted(defined.difference(config.DIARY_SYMPTOMS))]
     dated = backdate(entries, "ENTRY", as_of, keys)
-    return pivot_first(dated.join(defs, "SYMPTOM"), [*keys, "date"], "_name", "VALUE", order, names)
+    return pivot_first(dated.join(defs, [*own, "SYMPTOM"]), [*keys, "date"], "_name", "VALUE", order, names)
 
 
 def diary_wide(main: DataFrame, symptoms: DataFrame, entries: DataFrame, as_of: DateLike,
-               keys: Sequence[str] = (), names: Sequence[str] = config.DIARY_SYMPTOMS,
+               keys: Sequence[str] = (), names: Sequence[str] | None = None,
                order: str = "row_order") -> DataFrame:
     """The diary, a row per day: missing symptoms rest at 1 once they were first recorded."""
     days = snake_names(main)

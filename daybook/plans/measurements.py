@@ -77,10 +77,15 @@ def select_workouts(workouts: DataFrame, types: Sequence[str] = config.WORKOUT_T
 
 def workout_energy(workouts: DataFrame, types: Sequence[str] = config.ENERGY_WORKOUT_TYPES,
                    keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, date, total_energy_burned), one row per workout."""
-    cleaned = clean_workouts(workouts).where(F.col("type").isin(list(types)))
-    return cleaned.select(
-        *keys, F.to_date("startclock").alias("date"), F.col("totalenergyburned").alias("total_energy_burned")
+    """(keys, date, total_energy_burned), one row per workout; its day is that of its entry's clock.
+
+    The raw type text is tested, so the test reaches the scan.
+    """
+    df = lower_names(workouts)
+    raw = [config.WORKOUT_TYPE_PREFIX + t for t in types] + list(types)
+    return df.where(F.col("workoutactivitytype").isin(raw)).select(
+        *keys, F.to_date(wall_clock(F.col("creationdate"))).alias("date"),
+        to_number(F.col("totalenergyburned")).alias("total_energy_burned"),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from daybook import config
-from daybook.functions.numeric import one_rep_max
+from daybook.functions.numeric import null_if_nan, one_rep_max
 from daybook.operators.fill import dense_fill
 from daybook.operators.joins import full_outer_daily
 from daybook.operators.shape import lower_names
@@ -31,7 +31,7 @@ def with_one_rep_max(sets: DataFrame, weight: DataFrame | None = None, keys: Seq
         sets = sets.join(weight, [*keys, "date"], "left")
     named = sets.fillna(UNKNOWN_EXERCISE, subset=["exercise_name"])
     cols = [F.col(c) for c in ("exercise_name", "weight", "reps", "body_mass")]
-    return named.withColumn("one_rep_max", one_rep_max(*cols, unweighted=unweighted))
+    return named.withColumn("one_rep_max", null_if_nan(one_rep_max(*cols, unweighted=unweighted)))
 
 
 def strength_metrics(sets: DataFrame, weight: DataFrame | None = None, keys: Sequence[str] = (),
@@ -56,5 +56,5 @@ def daily_volume(strength: DataFrame, keys: Sequence[str] = (), value: str = "on
 def daily_volume_with_energy(strength: DataFrame, energy: DataFrame, keys: Sequence[str] = (),
                              measures: Sequence[str] = ("one_rep_max",)) -> DataFrame:
     """Daily sums of ``measures`` beside the energy rows; no energy counts as 0."""
-    volume = strength.groupBy(*keys, "date").agg(*[F.sum(m).alias(m) for m in measures])
+    volume = strength.groupBy(*keys, "date").agg(*[F.sum(null_if_nan(F.col(m))).alias(m) for m in measures])
     return full_outer_daily(volume, energy, [*keys, "date"], {"total_energy_burned": 0.0})

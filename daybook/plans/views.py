@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from daybook import config
 from daybook.functions.dates import DateLike, date_lit, month_bin
-from daybook.functions.numeric import signed_parts
+from daybook.functions.numeric import null_if_nan, signed_parts
 from daybook.functions.text import lift_label, metric_label, title_case
 from daybook.operators.joins import classify
 from daybook.operators.kernel import with_ewma
 from daybook.operators.shape import bucket, display_range
-from daybook.operators.stats import attach, recency_ranked
-from daybook.operators.windows import best_in_span, choose
+from daybook.operators.stats import attach, order_by_median, recency_ranked
+from daybook.operators.windows import best_in_span, choose, ranked_with_ties
 
 _LINES = {"cummax": "cummax_one_rep_max", "rolling": "rolling_90d_max"}
 
@@ -48,7 +48,7 @@ def heatmap_cells(df: DataFrame, classes: DataFrame | None, metric: str, categor
     """
     month = F.trunc("date", "MM").alias("date")
     months = df.groupBy(*keys, month, series).agg(
-        F.count("*").alias("Frequency"), F.coalesce(F.sum(value), F.lit(0.0)).alias("Volume")
+        F.count("*").alias("Frequency"), F.coalesce(F.sum(null_if_nan(F.col(value))), F.lit(0.0)).alias("Volume")
     )
     anchored = attach(months, keys, df.select(*keys, month), _anchor=F.min("date"))
     cells = anchored.withColumn("time_bin", month_bin(F.col("date"), F.col("_anchor"), bin_months))
@@ -62,27 +62,21 @@ def activity_heatmap(df: DataFrame, classes: DataFrame | None = None, metric: st
                      keys: Sequence[str] = (), dedupe: bool = False) -> DataFrame:
     """Heat-map tiles: cells of clear categories with their bucket and the category's place.
 
-    Per exercise, only the ones present in the most bins are shown.  A category's cells, at
-    most one per time bin, travel as one row while categories are ranked, so nothing is
-    computed twice.
+    Per exercise, only the ones present in the most bins are shown.  Categories are ranked and
+    numbered in tables of a row per category; cells only meet the result.
     """
     by_series = category not in config.CLASS_CATEGORIES
     cells = heatmap_cells(df, classes, metric, category, bin_months, keys, dedupe=dedupe)
     clear = cells.where(~F.col(category).isin(*config.UNCLEAR_LABELS) & F.col(category).isNotNull())
-    cell = F.collect_list(F.struct("time_bin", metric)).alias("_cells")
     if by_series:
-        series = clear.groupBy(*keys, category).agg(F.count("*").alias("_bins"), cell)
-        rank = F.rank().over(W.partitionBy(*keys).orderBy(F.desc("_bins")))
-        top = series.withColumn("_rank", rank).where(F.col("_rank") <= config.TOP_SERIES)
-        clear = top.select(*keys, category, F.inline("_cells"))
+        bins = clear.groupBy(*keys, category).agg(F.count("*").alias("_bins"))
+        top = ranked_with_ties(bins, "_bins", config.TOP_SERIES, keys).select(*keys, category)
+        clear = clear.join(top, [*keys, category], "left_semi")
     titled = clear.withColumn(category, title_case(F.col(category)))
-    placed = titled.groupBy(*keys, category).agg(F.median(metric).alias("_median"), cell).withColumn(
-        "sort_key", F.row_number().over(W.partitionBy(*keys).orderBy("_median", category))
-    )
+    order = order_by_median(titled, category, metric, keys).drop("median")
     breaks = config.BUCKET_BREAKS[metric, "series" if by_series else "class", bin_months]
-    return placed.select(*keys, category, "sort_key", F.inline("_cells")).withColumn(
-        "bucket", bucket(F.col(metric), breaks)
-    )
+    return titled.join(order, [*keys, category]).select(
+        *keys, category, "sort_key", "time_bin", metric, bucket(F.col(metric), breaks).alias("bucket"))
 
 
 def volume_trend(volume: DataFrame, epsilon: float = config.DEFAULT_VOLUME_EPSILON,
@@ -100,7 +94,7 @@ def metric_trend(scores: DataFrame, metrics: Sequence[str] = (),
     ``within_axis`` leaves out rows the axis would not show, after averaging over all.
     """
     mine = scores.where(
-        F.col("metric").isin(list(metrics or config.DEFAULT_METRICS)) & F.col("value").isNotNull()
+        F.col("metric").isin(list(metrics or config.DEFAULT_METRICS)) & null_if_nan(F.col("value")).isNotNull()
     )
     rows = with_ewma(mine, "value", epsilon, [*keys, "metric"])
     if within_axis:

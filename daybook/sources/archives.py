@@ -23,7 +23,18 @@ def read_archive_lines(spark: SparkSession, path: str | Sequence[str],
     One archive is one task; members are decompressed as a stream, a batch of lines at a
     time.  An archive is one binary cell, so those beyond 2 GB must be unpacked upstream.
     """
-    patterns = tuple(members)
+    patterns, size = tuple(members), _LINES_PER_BATCH
+
+    # Complete in itself: workers need not have this package.
+    def line_batches(path: str, name: str, text: io.TextIOWrapper) -> Iterator[pd.DataFrame]:
+        start, held = 0, []
+        for line in text:
+            held.append(line.removesuffix("\n"))
+            if len(held) == size:
+                yield pd.DataFrame({"archive": path, "member": name, "line_no": range(start, start + size), "value": held})
+                start, held = start + size, []
+        if held:
+            yield pd.DataFrame({"archive": path, "member": name, "line_no": range(start, start + len(held)), "value": held})
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -34,29 +45,12 @@ def read_archive_lines(spark: SparkSession, path: str | Sequence[str],
                             continue
                         with archive.open(name) as raw:
                             text = io.TextIOWrapper(raw, encoding="utf-8", newline="\n")
-                            yield from _line_batches(path, name, text)
+                            yield from line_batches(path, name, text)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(lines, _LINE_SCHEMA)
 
 
-def _line_batches(path: str, name: str, text: io.TextIOWrapper) -> Iterator[pd.DataFrame]:
-    start, held = 0, []
-
-    def batch() -> pd.DataFrame:
-        return pd.DataFrame({
-            "archive": path, "member": name, "line_no": range(start, start + len(held)), "value": held,
-        })
-
-    for line in text:
-        held.append(line.removesuffix("\n"))
-        if len(held) == _LINES_PER_BATCH:
-            yield batch()
-            start, held = start + len(held), []
-    if held:
-        yield batch()
-
-
 def stage_members(spark: SparkSession, path: str | Sequence[str], folder: str,
                   members: Sequence[str]) -> set[str]:
     """Write the matching members below ``folder``, a new one; returns the names found.
@@ -72,8 +66,17 @@ def stage_members(spark: SparkSession, path: str | Sequence[str], folder: str,
     staged = spark.read.text(folder)
     if "member" not in staged.columns:
         return set()
+    return _parts(staged, "member")
+
+
+def _parts(staged: DataFrame, name: str) -> set[str]:
     # Once for the folder's own escapes, once for those of the file's address.
-    return {unquote(unquote(m)) for f in staged.inputFiles() for m in re.findall("/member=([^/]+)/", f)}
+    return {unquote(unquote(m)) for f in staged.inputFiles() for m in re.findall(f"/{name}=([^/]+)/", f)}
+
+
+def staged_archives(spark: SparkSession, folder: str) -> set[str]:
+    """The archives whose members are below ``folder``."""
+    return _parts(spark.read.text(folder), "archive")
 
 
 def member_path(folder: str, member: str) -> str:

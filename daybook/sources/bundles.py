@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daybook import config, schemas
 from daybook.session import shared_folder
-from daybook.sources.archives import member_path, stage_members
+from daybook.sources.archives import member_path, stage_members, staged_archives
 from daybook.sources.csvs import read_csv
 from daybook.sources.xmls import read_elements
 
@@ -19,12 +19,14 @@ _DIARY_MEMBERS = {
 }
 
 
-def _staged(spark: SparkSession, path: str, members: list[str], staging: str | None, name: str) -> str:
+def _staged(spark: SparkSession, path: str, members: list[str], staging: str | None, name: str, by_archive: bool) -> str:
     folder = f"{staging or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     found = stage_members(spark, path, folder, members)
     missing = [m for m in members if m not in found]
     if missing:
         raise FileNotFoundError(f"{path} has no member {', '.join(missing)}")
+    if not by_archive and len(archives := staged_archives(spark, folder)) > 1:
+        raise ValueError(f"{path} matches {len(archives)} archives, which by_archive keeps apart")
     return folder
 
 
@@ -39,7 +41,7 @@ def load_health_export(spark: SparkSession, path: str, staging: str | None = Non
         xml, keep = path, []
     else:
         member = config.HEALTH_EXPORT_MEMBER
-        xml = member_path(_staged(spark, path, [member], staging, "health_export"), member)
+        xml = member_path(_staged(spark, path, [member], staging, "health_export", by_archive), member)
         keep = ["archive"] if by_archive else []
     records = read_elements(spark, xml, "Record", schemas.HEALTH_RECORD, keep=keep)
     workouts = read_elements(spark, xml, "Workout", schemas.HEALTH_WORKOUT, keep=keep)
@@ -58,7 +60,7 @@ def load_diary_export(spark: SparkSession, path: str, staging: str | None = None
     carry their file order, which decides between two entries for one day and symptom.
     """
     members = [m for m, _ in _DIARY_MEMBERS.values()]
-    folder = _staged(spark, path, members, staging, "diary_export")
+    folder = _staged(spark, path, members, staging, "diary_export", by_archive)
     return tuple(
         read_csv(spark, member_path(folder, member), schema, multi_line=name == "main",
                  ordinal="row_order" if name == "entries" else None, keep=["archive"] if by_archive else [])

@@ -8,17 +8,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from daybook import schemas
+from daybook.functions.numeric import null_if_nan
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType,
              multi_line: bool = False, ordinal: str | None = None,
-             keep: Sequence[str] = ()) -> DataFrame:
+             keep: Sequence[str] = (), file: str | None = None) -> DataFrame:
     """CSV with a header, matched to ``schema`` by name; other columns are not read.
 
+    All files of a path have the same columns in the same order; one that differs is an error
+    when it is read.  ``NaN`` is NULL.
     ``ordinal`` names an extra column that sorts the rows in file order; ``keep`` names
-    columns to take from the folder names.
+    columns to take from the folder names, ``file`` one for the file's path.
     """
-    header = spark.read.option("header", True).option("multiLine", multi_line)
+    header = spark.read.option("header", True).option("multiLine", multi_line).option("enforceSchema", False)
     found = header.csv(path).columns
     wanted = {f.name: f for f in schema.fields}
     missing = [n for n in wanted if n not in found]
@@ -28,7 +31,10 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType,
     for name in found:
         full = full.add(wanted[name] if name in wanted else name, None if name in wanted else "string")
     rows = header.schema(full).csv(path)
-    out = [F.col(f"`{n}`") for n in (*wanted, *keep)]
+    numbers = {f.name for f in schema.fields if f.dataType.typeName() in ("double", "float")}
+    out = [null_if_nan(F.col(f"`{n}`")).alias(n) if n in numbers else F.col(f"`{n}`") for n in (*wanted, *keep)]
+    if file:
+        out.append(F.col("_metadata.file_path").alias(file))
     if ordinal:
         # Ids grow along a file split, and splits are placed by where they start.
         out.append(F.struct(
@@ -39,8 +45,8 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType,
     return rows.select(*out)
 
 
-def read_strength_log(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return read_csv(spark, path, schemas.STRENGTH_LOG)
+def read_strength_log(spark: SparkSession, path: str | Sequence[str], file: str | None = None) -> DataFrame:
+    return read_csv(spark, path, schemas.STRENGTH_LOG, file=file)
 
 
 def save_csv(df: DataFrame, name: str, folder: str = "./") -> str:

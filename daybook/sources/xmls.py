@@ -16,16 +16,20 @@ def read_elements(spark: SparkSession, path: str | Sequence[str], tag: str, sche
 
     With ``split`` the file is read as text cut at every ``<``.  That character starts a tag
     and, in well-formed XML, appears nowhere inside one, so each piece is one tag and Spark
-    can give parts of one large file to many tasks.  Files that hide elements in comments or
-    CDATA sections need ``split=False``: the XML source, one task per file.
+    can give parts of one large file to many tasks.  A comment or CDATA section with a ``<`` in it
+    may hold what looks like elements, so a file that has one is an error; it needs
+    ``split=False``: the XML source, one task per file.
     """
     if not split:
         reader = spark.read.format("xml").option("rowTag", tag).option("attributePrefix", "")
         return reader.schema(schema).load(path).select(*schema.names, *keep)
     pieces = spark.read.option("lineSep", "<").text(path)
-    mine = pieces.where(F.col("value").startswith(tag) & F.col("value").rlike(f"^{tag}[\\s/>]"))
+    piece = F.col("value")
+    hidden = (piece.startswith("!--") & ~piece.contains("-->")) | (piece.startswith("![CDATA[") & ~piece.contains("]]>"))
+    mine = pieces.where(hidden | F.col("value").startswith(tag) & F.col("value").rlike(f"^{tag}[\\s/>]"))
     # Up to the closing bracket; a bracket inside a quoted attribute is not it.
-    opening = F.regexp_extract("value", r"""^((?:[^"'>]|"[^"]*"|'[^']*')*)>""", 1)
+    refused = F.raise_error(F.lit("a comment or CDATA section has a < in it: read the file with split=False"))
+    opening = F.regexp_extract(F.when(hidden, refused.cast("string")).otherwise(F.col("value")), r"""^((?:[^"'>]|"[^"]*"|'[^']*')*)>""", 1)
     element = F.concat(F.lit("<"), F.rtrim(opening, F.lit("/ \t\r\n")), F.lit("/>"))
     parsed = F.from_xml(element, schema.simpleString(), {"attributePrefix": "", "rowTag": tag})
     return mine.select(parsed.alias("_row"), *keep).select("_row.*", *keep)
