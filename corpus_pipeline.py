@@ -7,13 +7,12 @@ have nothing against; ids are unique, and documents without an id are kept unles
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook.llm import decontaminate, exact, packing, simhash, toxicity
-from daybook.llm.common import folder
+from daybook.llm.common import written
 from daybook.llm.queries import table, vocabulary
 
 TOXIC_FROM = 0.7
@@ -71,9 +70,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        path = f"{folder(spark)}/pipeline-{k}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{k}")
     return docs
 
 

@@ -105,8 +105,10 @@ def _forests(radius: int):
 def links(prints: DataFrame, radius: int = 3, bucket: int = 256) -> DataFrame:
     """(a, b), a > b: links between distinct fingerprints that join the same ones as all pairs within ``radius``.
 
-    ``bucket`` is the number of fingerprints that one task compares at once; larger buckets are dealt out again.
+    ``bucket`` is the number of fingerprints that one task compares at once, 256 at least; larger buckets are dealt out
+    again, three times at most: then seven bits are free.
     """
+    bucket = max(bucket, 256)
     spark = prints.sparkSession
     out = None
     paths, members = {0: 0}, prints.select(F.lit(0).cast("long").alias("path"), "fingerprint").distinct()
