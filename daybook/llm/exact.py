@@ -16,7 +16,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from daybook.llm.common import folder, whole
+from daybook.llm.common import folder, whole, written
 
 STORE = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -28,6 +28,9 @@ STORE = {
     # A store takes the disk that its rows need and leaves the executor when its task has committed.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    # A state row is small; what a store holds before it goes to disk is, too.
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    "spark.sql.streaming.stateStore.rocksdb.maxWriteBufferNumber": "2",
 }
 
 
@@ -71,12 +74,14 @@ def run_stream(stream: DataFrame, checkpoint: str) -> None:
 
 
 def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """(digest, keep_id, keep_locator, group_size): a row per state row at ``checkpoint``."""
-    state = spark.read.format("statestore").load(checkpoint)
-    best, seen = [f.name for f in state.schema["value"].dataType.fields]
-    value = F.col("value")
-    return state.select(F.col("key.digest").alias("digest"), value[best]["id"].alias("keep_id"),
-                        value[best]["locator"].alias("keep_locator"), value[seen].alias("group_size"))
+    """(digest, keep_id, keep_locator, group_size): a row per state row at ``checkpoint``, written beside it."""
+    with _settings(spark, STORE):
+        state = spark.read.format("statestore").load(checkpoint)
+        best, seen = [f.name for f in state.schema["value"].dataType.fields]
+        value = F.col("value")
+        return written(state.select(
+            F.col("key.digest").alias("digest"), value[best]["id"].alias("keep_id"),
+            value[best]["locator"].alias("keep_locator"), value[seen].alias("group_size")), "exact-groups")
 
 
 def clashing(docs: DataFrame, text_col: str, digest: Callable[[Column], Column] = sha256) -> DataFrame:
