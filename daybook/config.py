@@ -91,6 +91,7 @@ MUSCLE_GROUPS = {
     "glutes": ("posterior", "legs"),
     "abductors": ("posterior", "legs"),
 }
+# How an undecided class is written, and names per request.
 UNCLEAR = "Unclear"
 UNCLEAR_LABELS = ("Unclear", "unclear")
 NAMES_PER_REQUEST = 10
@@ -141,13 +142,11 @@ SCORES = {
         "professional_mastery": (1, 4, 2, 1),
     }),
 }
+# Shares of known terms that a full and a partial score need.
 FULL_CUTOFF = 1.0
 PARTIAL_CUTOFF = 0.5
 
-# Closed date ranges that scoring may leave out (off by default).
-EXCLUDED_RANGES = (("2000-01-01", "2021-12-01"), ("2023-06-16", "2023-09-20"))
-
-# Symptom names (after snake-casing) the diary pivot makes columns of.
+# Symptom names (after snake-casing) that always have a column.
 DIARY_SYMPTOMS = (
     "energy", "fun", "dog_interaction", "conflict", "self-acceptance", "liberty",
     "positive_liberty", "negative_liberty", "value_alignment", "health", "security",
@@ -187,6 +186,7 @@ BUCKET_BREAKS = {
     ("Volume", "class", 4): (0, 10000, 30000, 100000, _OPEN),
     ("Volume", "series", 4): (0, 1000, 3000, 10000, 30000, _OPEN),
 }
+# The class columns, and the exercises a heat map shows.
 CLASS_CATEGORIES = ("Push_Pull_Legs", "Anterior_Posterior")
 TOP_SERIES = 10
 
@@ -196,6 +196,7 @@ PICKER_MAX_AGE = 1000
 PICKER_PRIOR_DAYS = 60
 
 # --- goals ------------------------------------------------------------------------
+# The goals' year and where its baseline begins.
 GOAL_YEAR = 2024
 BASELINE_FROM = "2023-10-01"
 

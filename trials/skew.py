@@ -65,7 +65,7 @@ def main(n: int) -> None:
     hours = events.where("event_type = 'signup'").select(
         "user_id", "event_id", "start", (F.col("start") + F.expr("interval 1 hour")).alias("end"))
     wanted = {"click_mean": ("click", "avg"), "view_sum": ("view", "sum")}
-    timed("intervals, running totals", enrich_intervals(
+    timed("intervals, blocks of time", enrich_intervals(
         hours, events, wanted, ["user_id"], m_end=None, kind="event_type"))
     m = events.select(F.col("user_id").alias("u"), F.col("start").alias("t"), "event_type", "value").where(
         "event_type IN ('click', 'view')")
