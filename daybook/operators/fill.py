@@ -78,53 +78,82 @@ def coalesce_mean(df: DataFrame, target: str, a: str, b: str) -> DataFrame:
     return df.withColumn(target, F.coalesce(F.col(target), (F.col(a) + F.col(b)) / 2))
 
 
+def _part_of_day(df: DataFrame, first: str | Column) -> Column:
+    """A number that never falls as the first order column rises: its minute, or its size on a log scale."""
+    if not isinstance(first, str):
+        return F.lit(0).cast("bigint")
+    c, kind = F.col(f"`{first}`"), df.schema[first].dataType.typeName()
+    if kind.startswith("timestamp"):
+        part = F.unix_date(F.to_date(c)).cast("bigint") * 1440 + F.hour(c) * 60 + F.minute(c)
+    elif kind in ("byte", "short", "integer", "long", "float", "double", "decimal"):
+        x = c.cast("double")
+        size = F.floor(F.signum(x) * F.log1p(F.abs(x)) * 32).cast("bigint")
+        part = F.when(F.isnan(x), F.lit(1 << 40)).otherwise(size)
+    else:
+        return F.lit(0).cast("bigint")
+    return F.when(c.isNull(), F.lit(-(1 << 40))).otherwise(part)
+
+
 def _with_known_neighbours(df: DataFrame, value: str, keys: Sequence[str], date: str,
                            order: Sequence[str | Column]) -> DataFrame:
     """Rows plus ``_pos`` and the nearest known ``(pos, day, v)`` at or before and after each.
 
-    Two levels: positions and neighbours inside a day, and what earlier and later days
-    carry in, computed on one summary row per day.  No task sees more than one day of
-    rows, or one key's days, at a time.  Key and date travel as one struct, which is never
-    NULL, so both levels use the same shuffle of the rows.
+    Three levels: positions and neighbours inside a part of a day (rows near by the first order
+    column), what other parts of the day carry in, and what other days do, each computed on one
+    summary row per part or day.  No task sees more than one part of a day's rows, one day's
+    parts, or one key's days, at a time.  Keys, date and part travel as one struct, which is
+    never NULL, so all levels use the same shuffle of the rows.
     """
     df = df.withColumn(value, null_if_nan(F.col(value)))
     names = [*keys, date]
     others = [F.col(f"`{c}`") for c in df.columns if c not in names]
-    in_day = W.partitionBy("_day")
-    rows = df.select(F.struct(*names).alias("_day"), *others).withColumn(
-        "_i", F.row_number().over(in_day.orderBy(*order)).cast("bigint")
+    in_part = W.partitionBy("_part")
+    whole_day = F.struct(*names).alias("day")
+    rows = df.select(F.struct(whole_day, _part_of_day(df, order[0]).alias("part")).alias("_part"), *others).withColumn(
+        "_i", F.row_number().over(in_part.orderBy(*order)).cast("bigint")
     )
     known = F.col(value).isNotNull()
-    number = day_number(F.col(f"_day.{date}")).alias("day")
+    number = day_number(F.col(f"_part.day.{date}")).alias("day")
 
     def point(pos: str) -> Column:
         return F.when(known, F.struct(F.col(pos).alias("pos"), number, F.col(value).alias("v")))
 
-    days = rows.groupBy("_day").agg(
+    def shifted(col: str, by: str) -> Column:
+        """The point with its position counted from further back."""
+        c = F.col(col)
+        return F.when(c.isNotNull(), F.struct((F.col(by) + c["pos"]).alias("pos"), c["day"], c["v"]))
+
+    def carried(table: DataFrame, group: Sequence[str], by: str, tag: str) -> DataFrame:
+        """``table`` with the rows before each entry of its group and the nearest points outside it, from the group's start."""
+        earlier = W.partitionBy(*group).orderBy(by).rowsBetween(W.unboundedPreceding, -1)
+        later = W.partitionBy(*group).orderBy(F.desc(by)).rowsBetween(W.unboundedPreceding, -1)
+        return (
+            table.withColumn(f"_{tag}", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+            .withColumn("_first", shifted("_first", f"_{tag}")).withColumn("_last", shifted("_last", f"_{tag}"))
+            .withColumn(f"_{tag}_prev", F.last("_last", ignorenulls=True).over(earlier))
+            .withColumn(f"_{tag}_next", F.last("_first", ignorenulls=True).over(later))
+        )
+
+    parts = rows.groupBy("_part").agg(
         F.count("*").alias("_n"), F.min(point("_i")).alias("_first"), F.max(point("_i")).alias("_last")
+    ).withColumn("_day", F.col("_part.day")).withColumn("_nth", F.col("_part.part"))
+    in_day = carried(parts, ["_day"], "_nth", "in_day")
+    days = in_day.groupBy("_day").agg(
+        F.sum("_n").alias("_n"), F.min("_first").alias("_first"), F.max("_last").alias("_last")
     ).select("*", *[F.col(f"_day.{n}").alias(n) for n in names])
-
-    def shifted(col: str) -> Column:
-        """The point with its position counted from the start of the series."""
-        c = F.col(col)
-        return F.when(c.isNotNull(), F.struct((F.col("_offset") + c["pos"]).alias("pos"), c["day"], c["v"]))
-
-    earlier = W.partitionBy(*keys).orderBy(date).rowsBetween(W.unboundedPreceding, -1)
-    later = W.partitionBy(*keys).orderBy(F.desc(date)).rowsBetween(W.unboundedPreceding, -1)
-    carried = (
-        days.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .withColumn("_carry_prev", F.last(shifted("_last"), ignorenulls=True).over(earlier))
-        .withColumn("_carry_next", F.last(shifted("_first"), ignorenulls=True).over(later))
-        .select("_day", "_offset", "_carry_prev", "_carry_next")
-    )
-    joined = rows.join(carried, "_day", "left").withColumn("_pos", F.col("_offset") + F.col("_i"))
-    up = in_day.orderBy("_i").rowsBetween(W.unboundedPreceding, 0)
-    down = in_day.orderBy(F.desc("_i")).rowsBetween(W.unboundedPreceding, 0)
+    in_key = carried(days, keys, date, "in_key").select("_day", "_in_key", "_in_key_prev", "_in_key_next")
+    around = in_day.join(in_key, "_day").select(
+        "_part", (F.col("_in_key") + F.col("_in_day")).alias("_offset"),
+        F.coalesce(shifted("_in_day_prev", "_in_key"), "_in_key_prev").alias("_carry_prev"),
+        F.coalesce(shifted("_in_day_next", "_in_key"), "_in_key_next").alias("_carry_next"))
+    joined = rows.join(around, "_part", "left").withColumn("_pos", F.col("_offset") + F.col("_i"))
+    up = in_part.orderBy("_i").rowsBetween(W.unboundedPreceding, 0)
+    down = in_part.orderBy(F.desc("_i")).rowsBetween(W.unboundedPreceding, 0)
     here = point("_pos")
     return (
         joined.withColumn("_prev", F.coalesce(F.last(here, ignorenulls=True).over(up), "_carry_prev"))
         .withColumn("_next", F.coalesce(F.last(here, ignorenulls=True).over(down), "_carry_next"))
-        .select(*[F.col(f"_day.{n}").alias(n) for n in names], *others, "_pos", "_prev", "_next")
+        .select(*[F.col(f"_part.day.{n}").alias(n) for n in names], *others, "_pos", "_prev", "_next")
     )
 
 
