@@ -234,8 +234,8 @@ def _signature(words: list[str]) -> tuple[int, int]:
 def train(samples: list[tuple[str, int]], landmarks: int = 160, negatives: int = 20_000, rounds: int = 3) -> Model:
     """A model of (text, label) pairs; without both labels among them, one that gives all texts the same score.
 
-    ``landmarks`` and ``negatives`` bound the words that others are compared to and the clean words that are used, the
-    nearest to toxic ones first.
+    ``landmarks`` and ``negatives`` bound the words that others are compared to, and the clean words and those of toxic
+    texts alone that are used, the nearest to toxic ones first.
     """
     seen, bags, toxic, texts = set(), [], [], []
     vocabulary: dict[str, int] = {}
@@ -255,12 +255,13 @@ def train(samples: list[tuple[str, int]], landmarks: int = 160, negatives: int =
     names = list(vocabulary)
     clean = np.bincount(np.concatenate([b for b, t in zip(bags, toxic) if not t]), minlength=len(names))
     bad = np.bincount(np.concatenate([b for b, t in zip(bags, toxic) if t]), minlength=len(names))
-    nearness = _kernel(names, [names[i] for i in seeds]).max(axis=1)
+    seed_names = [names[i] for i in seeds]
+    nearness = np.concatenate([_kernel(names[i:i + 20_000], seed_names).max(axis=1) for i in range(0, len(names), 20_000)])
     ranked = np.argsort(-nearness, kind="stable")
     near = [i for i in ranked if clean[i] and i not in seeds][:negatives]
     step = max(1, len(near) // max(1, landmarks - len(seeds) - landmarks // 4))
     marks = [*seeds, *near[:landmarks // 4], *near[landmarks // 4::step]][:landmarks]
-    only_bad = np.flatnonzero((clean == 0) & (bad >= 1))
+    only_bad = [i for i in ranked if not clean[i]][:negatives]
     held = np.concatenate([seeds, np.setdiff1d(only_bad, seeds), near]).astype(int)
     values = _kernel([names[i] for i in held], [names[i] for i in marks]).astype(float)
     own = _kernel([names[i] for i in marks], [names[i] for i in marks]).astype(float)
