@@ -192,6 +192,20 @@ def test_language_model(spark, docs, unique_docs, texts, no_docs):
     assert mixing.language_model_scores(docs).count() == len(texts) + 2
 
 
+def test_scores_depend_on_word_order(spark):
+    """A held-out text in the usual order scores above its shuffled words, and above the unigram model."""
+    rng = random.Random(3)
+    usual = [f"{a}{b}" for a in ("ka", "lo", "mi", "su", "te") for b in ("ran", "vel", "dok", "pim")]
+    rows = [(i, " ".join(w for _ in range(4) for w in usual[k:] + usual[:k])) for i in range(300) for k in [rng.randrange(20)]]
+    mixed = [(i + 1000, " ".join(rng.sample(t.split(), 80))) for i, t in rows]
+    held = [r for r in mixed if zlib.crc32(str(r[0]).encode()) % 10 == 0]
+    got = mixing.language_model_scores(spark.createDataFrame(rows + held, "doc_id long, text string")).filter("held_out").collect()
+    ordered, shuffled = [r for r in got if r.doc_id < 1000], [r for r in got if r.doc_id >= 1000]
+    assert len(ordered) > 10 and len(shuffled) > 10
+    assert min(r.score for r in ordered) > max(r.score for r in shuffled)
+    assert all(r.score > r.base_score for r in ordered)
+
+
 def test_spellings_are_probabilities():
     """All words of two letters, their ends and all longer beginnings add up to one; common beginnings cost less."""
     table = np.zeros((len(mixing.ORDERS), 1 << mixing.SLOT_BITS, 2), np.float32)
