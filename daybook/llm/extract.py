@@ -31,6 +31,8 @@ _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th
          "option": ("option",)}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>", re.S)
+#: Where each raw element ends; up to there nothing is markup.
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in _RAW}
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _TAGS = ("article", "main", "section", "nav", "header", "footer", "aside", "form", "ul", "ol", "li", "table", "p", "pre",
          "blockquote", "figure", "h1", "h2", "h3", "h4", "button", "dl", "div", "label")
@@ -67,7 +69,7 @@ def leaf_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
     stack: list[tuple[str, int, bool]] = [("", 0, False)]
     parts: list[str] = []
-    at, links, linked, raw = 0, 0, 0, ""
+    at, links, linked = 0, 0, 0
 
     def flush():
         nonlocal parts, linked
@@ -97,14 +99,10 @@ def leaf_blocks(page: str) -> list[Block]:
                 return 0
         return 0
 
-    for token in _TOKEN.finditer(page):
+    while token := _TOKEN.search(page, at):
         name = (token[2] or token[5] or "").lower()
         ending = bool(token[1] or token[4])
-        if raw:  # up to the raw element's own end nothing is markup
-            if not (ending and name == raw):
-                continue
-            raw = ""
-        elif token.start() > at:
+        if token.start() > at:
             take(page[at:token.start()])
         at = token.end()
         if not name:
@@ -138,9 +136,10 @@ def leaf_blocks(page: str) -> list[Block]:
         hidden = stack[-1][2] or name in _HIDDEN or bool(attributes) and re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes) is not None
         stack.append((name, bits, hidden))
         links += name == "a"
-        raw = name if name in _RAW else ""
-    if not raw:
-        take(page[at:])
+        if name in _RAW:
+            end = _RAW_END[name].search(page, at)
+            at = end.start() if end else len(page)
+    take(page[at:])
     flush()
     return blocks
 

@@ -48,6 +48,13 @@ def test_blocks():
         extract.leaf_blocks(odd)
 
 
+def test_raw_elements_end_at_their_own_end_tag():
+    for raw in ("<script>for(var i=0;i<n;i++){f(i)}</script>", "<title>a<b c</title>", "<script>var s='<!--';</script >", "<style>a<b{}</STYLE\n>",
+                "<textarea>x<y</textarea>", "<script>'</scripts>';a<b</script>", "<script>if(a<b)x=\"</script>"):
+        assert [b.text for b in extract.leaf_blocks(f"{raw}<p>Article</p>")] == ["Article"], raw
+    assert extract.leaf_blocks("<script>a<b") == []
+
+
 def test_extraction(spark, field):
     article = "<article><h1>T</h1><p>One, two and three.</p><p>Late.</p></article>"
     rows = [(1, "u", f"<nav><a href='/'>Home</a></nav><div class='ad'>Buy it now.</div>{article}<footer>&copy; x</footer>"),
