@@ -34,6 +34,8 @@ _TOKEN = re.compile(
 #: Where each raw element ends; up to there nothing is markup.
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in _RAW}
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_VALUE = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+_IS_HIDDEN = re.compile(r"(?:^|[\s/])hidden(?=[\s=/]|$)", re.I)
 _TAGS = ("article", "main", "section", "nav", "header", "footer", "aside", "form", "ul", "ol", "li", "table", "p", "pre",
          "blockquote", "figure", "h1", "h2", "h3", "h4", "button", "dl", "div", "label")
 #: Parts of names of classes and ids, by what they tell.
@@ -64,6 +66,11 @@ class Block:
     linked: int  # characters inside links
 
 
+def _is_hidden(attributes: str) -> bool:
+    """Whether there is an attribute called hidden; values are not looked at."""
+    return "hidden" in attributes.lower() and _IS_HIDDEN.search(_VALUE.sub("= ", attributes)) is not None
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """The page's blocks with text, in order; character references decoded, white space one space, ends trimmed."""
     blocks: list[Block] = []
@@ -133,7 +140,7 @@ def leaf_blocks(page: str) -> list[Block]:
                         bits |= 1 << len(_TAGS) + _HINT_OF[word]
         if name in _HIDDEN and name in _BLOCKS:
             flush()
-        hidden = stack[-1][2] or name in _HIDDEN or bool(attributes) and re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes) is not None
+        hidden = stack[-1][2] or name in _HIDDEN or _is_hidden(attributes)
         stack.append((name, bits, hidden))
         links += name == "a"
         if name in _RAW:

@@ -55,6 +55,14 @@ def test_raw_elements_end_at_their_own_end_tag():
     assert extract.leaf_blocks("<script>a<b") == []
 
 
+def test_hidden_is_an_attribute_not_a_value():
+    for shown in ('title="The hidden cost"', "aria-label='what is hidden here'", 'class="post hidden box"', "class=hidden", 'title = "a hidden = b"',
+                  "data-hidden", 'alt="x>hidden "'):
+        assert [b.text for b in extract.leaf_blocks(f"<div {shown}>shown</div>")] == ["shown"], shown
+    for hidden in ("hidden", "HIDDEN", 'hidden=""', 'class="a b" hidden', 'title="x"hidden', "id=x hidden = hidden"):
+        assert extract.leaf_blocks(f"<div {hidden}>h</div>") == [], hidden
+
+
 def test_extraction(spark, field):
     article = "<article><h1>T</h1><p>One, two and three.</p><p>Late.</p></article>"
     rows = [(1, "u", f"<nav><a href='/'>Home</a></nav><div class='ad'>Buy it now.</div>{article}<footer>&copy; x</footer>"),
