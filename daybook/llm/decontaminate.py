@@ -156,7 +156,8 @@ def search(index: DataFrame, items: DataFrame, width: int = 13, slack: int = 0,
 
     A window is met where its words stand one after the other; with ``slack``, where each word stands at most that many
     words from its place as the rarest one gives it. A shorter item is one window, one without words is none. More than
-    ``block_words`` words of items are searched for in several passes, whose results are merged.
+    ``block_words`` words of items are searched for in several passes, whose results are merged. Rows of the same id are
+    one item; an item without an id has spans but is not listed.
     """
     spark = index.sparkSession
     ship(spark)
@@ -190,9 +191,9 @@ def search(index: DataFrame, items: DataFrame, width: int = 13, slack: int = 0,
     rows, several = found
     if several:
         rows = rows.groupBy("segment", "nth", "id", "n_words").agg(
-            F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+            F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
         rows = rows.withColumn("spans", merged("spans"))
-    return rows.select("id", "n_words", "spans", "items")
+    return rows.select("id", "n_words", "spans", F.array_distinct(F.array_compact("items")).alias("items"))
 
 
 def merged(spans: str) -> Column:

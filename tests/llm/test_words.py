@@ -140,3 +140,13 @@ def test_contamination(spark, docs, unique_docs, texts, no_docs):
     assert {r.id for r in decontaminate.search(index, bench, width=6, slack=1).filter("size(items) > 0").collect()} >= {6, 7, 8}
     assert decontaminate.contamination(no_docs, bench).collect() == []
     assert decontaminate.contamination(docs, bench.limit(0)).filter("n_hit > 0 or contaminated").count() == 0
+
+
+def test_repeated_items_are_listed_once(spark, docs, texts):
+    long = texts[6].split()
+    items = [(1, " ".join(long[40:70])), (1, " ".join(long[40:70])), (1, " ".join(long[100:120])), (2, " ".join(long[60:73])), (None, " ".join(long[200:220]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    index = decontaminate.build_index(docs.filter("doc_id = 6").limit(1))
+    for block in (1 << 20, 20):
+        r = decontaminate.search(index, bench, block_words=block).first()
+        assert sorted(r["items"]) == [1, 2] and [tuple(s) for s in r.spans][-1] == (200, 220)
