@@ -75,6 +75,7 @@ def leaf_blocks(page: str) -> list[Block]:
     """The page's blocks with text, in order; character references decoded, white space one space, ends trimmed."""
     blocks: list[Block] = []
     stack: list[tuple[str, int, bool]] = [("", 0, False)]
+    places: dict[str, list[int]] = {}  # where each tag's open elements stand in the stack
     parts: list[str] = []
     at, links, linked = 0, 0, 0
 
@@ -96,15 +97,13 @@ def leaf_blocks(page: str) -> list[Block]:
     def close(to: int):
         nonlocal links
         while len(stack) > to:
-            links -= stack.pop()[0] == "a"
+            name = stack.pop()[0]
+            places[name].pop()
+            links -= name == "a"
 
     def find(names, stop=frozenset()) -> int:
-        for k in range(len(stack) - 1, max(0, len(stack) - 200), -1):
-            if stack[k][0] in names:
-                return k
-            if stack[k][0] in stop:
-                return 0
-        return 0
+        nearest = max(places[n][-1] if places.get(n) else 0 for n in names)
+        return nearest if all(not places.get(n) or places[n][-1] < nearest for n in stop) else 0
 
     while token := _TOKEN.search(page, at):
         name = (token[2] or token[5] or "").lower()
@@ -141,6 +140,7 @@ def leaf_blocks(page: str) -> list[Block]:
         if name in _HIDDEN and name in _BLOCKS:
             flush()
         hidden = stack[-1][2] or name in _HIDDEN or _is_hidden(attributes)
+        places.setdefault(name, []).append(len(stack))
         stack.append((name, bits, hidden))
         links += name == "a"
         if name in _RAW:

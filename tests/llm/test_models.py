@@ -63,6 +63,11 @@ def test_hidden_is_an_attribute_not_a_value():
         assert extract.leaf_blocks(f"<div {hidden}>h</div>") == [], hidden
 
 
+def test_end_tags_find_openers_at_any_depth():
+    after = [extract.leaf_blocks(f"<nav hidden>{'<font>' * n}x</nav><p>y</p>") for n in (0, 199, 200, 5000)]
+    assert [[(b.text, b.above) for b in blocks] for blocks in after] == [[("y", extract._TAG_BIT["p"])]] * 4
+
+
 def test_extraction(spark, field):
     article = "<article><h1>T</h1><p>One, two and three.</p><p>Late.</p></article>"
     rows = [(1, "u", f"<nav><a href='/'>Home</a></nav><div class='ad'>Buy it now.</div>{article}<footer>&copy; x</footer>"),
