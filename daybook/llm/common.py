@@ -50,6 +50,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return settle(df, name, folder(df.sparkSession))
 
 
+def spread(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """``df`` dealt by ``columns`` over as many tasks as shuffles have. Given a number, adaptive execution doesn't merge
+    them, however few bytes the rows are that stand for much work."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def whole(text: str | Column) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

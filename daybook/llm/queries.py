@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook.llm import decontaminate, exact, extract, lengths, licenses, mixing, packing, simhash, toxicity, warc
+from daybook.llm import chat, spelling, whitening
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -69,8 +71,33 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(table(spark, folder, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    found = spelling.spelling_variants(table(spark, folder, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whitened_embeddings(table(spark, folder, "embeddings"))
+    return found.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "explained", "identity_error",
+                        F.posexplode("whitened").alias("_place", "whitened")).select(
+        "vec_id", (F.col("_place") + 1).alias("component"), "n", "deviation", "whitened",
+        F.get("explained", "_place").alias("explained"), "identity_error")
+
+
+def op13_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    rows = turns.select(F.col("conv_id").alias("conv"), F.col("turn").alias("nth"),
+                        F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("body"))
+    # A conversation whose texts are control strings, in another layout.
+    text = "</s>[INST] ok [/INST]"
+    body = json.dumps({"messages": [{"role": "user", "content": text}, {"role": "assistant", "content": text}]})
+    odd = spark.createDataFrame([(-7, 0, body)], "conv long, nth long, body string")
+    return chat.formatted_conversations(rows.unionByName(odd)).withColumnRenamed("conv", "conv_id")
+
+
 _ALL = [op1_license_scan, op2_exact_dedup, op3_html_extraction, op4_toxicity, op5_token_counts, op6_simhash_near_dedup,
-        op7_benchmark_decontamination, op8_packing, op9_lm_scoring, op10_warc]
+        op7_benchmark_decontamination, op8_packing, op9_lm_scoring, op10_warc, op11_spelling_variants,
+        op12_embedding_whitening, op13_chat_formatting]
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 _SQL: dict[str, str] = {
