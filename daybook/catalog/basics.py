@@ -212,6 +212,15 @@ def category_order_by_median(t):
     return stats.order_by_median(bins, "exercise_name", "n")
 
 
+@query("""WITH q AS (SELECT exercise_name, median(weight) AS median FROM sets GROUP BY 1)
+    SELECT exercise_name, round(median, 6) AS median, CAST(row_number() OVER (ORDER BY median, exercise_name) AS INTEGER) AS sort_key
+    FROM q""")
+def category_order_by_raw_median(t):
+    """Over the sets themselves, in parts of few sets and few exercises."""
+    order = stats.order_by_median(t.sets.select("exercise_name", "weight"), "exercise_name", "weight", bound=200)
+    return order.withColumn("median", F.round("median", 6))
+
+
 @query("""SELECT exercise_name, date, set_order, round(one_rep_max, 6) AS one_rep_max FROM rated
     QUALIFY one_rep_max = max(one_rep_max) OVER (PARTITION BY exercise_name, date)""")
 def group_argmax_rows(t):

@@ -169,6 +169,27 @@ def interpolate_by_date(t):
     return rows.select("user_id", "date", "event_id", approx("value"))
 
 
+# All readings of everyone at one time of the day: days are cut along what decides among ties.
+@query(f"""WITH filled AS (SELECT 0 AS user_id, date, event_id, value FROM readings), {_NEIGHBOURS}
+    SELECT date, event_id, {approx_sql(_BY_POSITION)} AS value FROM around""")
+def interpolate_ties(t):
+    noon = t.readings.select("date", "event_id", "value", F.to_timestamp("date").alias("at"))
+    rows = fill.interpolate(noon, "value", order=["at", "event_id"], bound=100)
+    return rows.select("date", "event_id", approx("value"))
+
+
+# Values that are no finite numbers, in the order of the values themselves: NULL, NaN with it, comes before minus infinity.
+@query("""WITH r AS (SELECT user_id, date, event_id, CASE event_id % 7 WHEN 0 THEN '-Infinity'::DOUBLE WHEN 1 THEN 'Infinity'::DOUBLE
+        WHEN 2 THEN NULL WHEN 3 THEN NULL ELSE round(value, 2) END AS value FROM readings)
+    SELECT user_id, date, event_id, last_value(value IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY date, value NULLS FIRST
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value FROM r""")
+def forward_fill_infinite(t):
+    odd = F.element_at(F.array(*[F.lit(float(x)) for x in ("-inf", "inf", "nan")], F.lit(None)), (F.col("event_id") % 7 + 1).cast("int"))
+    value = F.when(F.col("event_id") % 7 < 4, odd).otherwise(F.round("value", 2))
+    rows = t.readings.select("user_id", "date", "event_id", value.alias("value"))
+    return fill.forward_fill(rows, "value", ["user_id"], bound=5)
+
+
 @query(f"""WITH mass AS (SELECT user_id, date, event_id, CASE WHEN value > 5 THEN value END AS value FROM readings
         WHERE event_type = 'signup'),
     spine AS (SELECT user_id, CAST(unnest(generate_series(min(date), DATE '{AS_OF}', INTERVAL 1 DAY)) AS DATE)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from daybook.functions.dates import DateLike, date_lit, day_number
 from daybook.functions.numeric import null_if_nan
+from daybook.operators.order import BOUND, ordered_parts
+from daybook.operators.windows import repeat_rows
 
 _ONE_DAY = "interval 1 day"
 
@@ -78,45 +80,44 @@ def coalesce_mean(df: DataFrame, target: str, a: str, b: str) -> DataFrame:
     return df.withColumn(target, F.coalesce(F.col(target), (F.col(a) + F.col(b)) / 2))
 
 
-def _part_of_day(df: DataFrame, first: str | Column) -> Column:
-    """A number that never falls as the first order column rises: its minute, or its size on a log scale."""
-    if not isinstance(first, str):
-        return F.lit(0).cast("bigint")
-    c, kind = F.col(f"`{first}`"), df.schema[first].dataType.typeName()
-    if kind.startswith("timestamp"):
-        part = F.unix_date(F.to_date(c)).cast("bigint") * 1440 + F.hour(c) * 60 + F.minute(c)
-    elif kind in ("byte", "short", "integer", "long", "float", "double", "decimal"):
-        x = c.cast("double")
-        size = F.floor(F.signum(x) * F.log1p(F.abs(x)) * 32).cast("bigint")
-        part = F.when(F.isnan(x), F.lit(1 << 40)).otherwise(size)
-    else:
-        return F.lit(0).cast("bigint")
-    return F.when(c.isNull(), F.lit(-(1 << 40))).otherwise(part)
-
-
 def _with_known_neighbours(df: DataFrame, value: str, keys: Sequence[str], date: str,
-                           order: Sequence[str | Column]) -> DataFrame:
+                           order: Sequence[str | Column], bound: int, folder: str | None,
+                           counted: DataFrame | None) -> DataFrame:
     """Rows plus ``_pos`` and the nearest known ``(pos, day, v)`` at or before and after each.
 
-    Three levels: positions and neighbours inside a part of a day (rows near by the first order
-    column), what other parts of the day carry in, and what other days do, each computed on one
-    summary row per part or day.  No task sees more than one part of a day's rows, one day's
-    parts, or one key's days, at a time.  Keys, date and part travel as one struct, which is
-    never NULL, so all levels use the same shuffle of the rows.
+    Positions and neighbours inside a part, then what other parts of the day carry in, and what
+    other days do, each computed on one summary row per part or day.  Parts are days; a day of
+    more than ``bound`` rows is cut along its order (``ordered_parts``), ties included, and rows
+    that are identical are one row until the end.  No task sees more than one part's rows, one
+    day's parts, or one key's days, at a time.  Rows that tie in ``order`` are ordered by a hash
+    of the row, so every evaluation agrees.
     """
-    df = df.withColumn(value, null_if_nan(F.col(value)))
+    named = {f"_order {i}": o for i, o in enumerate(order) if not isinstance(o, str)}
+    df = df.withColumn(value, null_if_nan(F.col(value))).withColumns(named)
+    by = [o if isinstance(o, str) else f"_order {i}" for i, o in enumerate(order)]
     names = [*keys, date]
     others = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in names and c not in named]
+    ranks = [*[F.col(f"`{c}`") for c in by], F.xxhash64(*others)]
+    cut = ordered_parts(df, names, by, bound, folder, counted)
+    if cut is None:
+        rows = df.select(F.struct(*names).alias("_part"), *others, F.lit(1).cast("bigint").alias("_times"))
+    else:
+        cut = cut.select(F.struct(*names, "_path").alias("_part"), *others)
+        same = F.col("_part._path").endswith("=")
+        equal = cut.where(same).groupBy("_part", *others).agg(F.count("*").alias("_times"))
+        rows = cut.where(~same).withColumn("_times", F.lit(1).cast("bigint")).unionByName(equal)
     in_part = W.partitionBy("_part")
-    whole_day = F.struct(*names).alias("day")
-    rows = df.select(F.struct(whole_day, _part_of_day(df, order[0]).alias("part")).alias("_part"), *others).withColumn(
-        "_i", F.row_number().over(in_part.orderBy(*order)).cast("bigint")
-    )
+    if cut is None:
+        rows = rows.withColumn("_i", F.row_number().over(in_part.orderBy(*ranks)).cast("bigint"))
+    else:
+        # Identical rows are a part of their own.
+        rows = rows.withColumn("_i", F.when(F.col("_times") > 1, 1).otherwise(F.row_number().over(in_part.orderBy(*ranks))).cast("bigint"))
     known = F.col(value).isNotNull()
-    number = day_number(F.col(f"_part.day.{date}")).alias("day")
+    number = day_number(F.col(f"_part.{date}")).alias("day")
 
-    def point(pos: str) -> Column:
-        return F.when(known, F.struct(F.col(pos).alias("pos"), number, F.col(value).alias("v")))
+    def point(pos: Column) -> Column:
+        return F.when(known, F.struct(pos.alias("pos"), number, F.col(value).alias("v")))
 
     def shifted(col: str, by: str) -> Column:
         """The point with its position counted from further back."""
@@ -135,43 +136,60 @@ def _with_known_neighbours(df: DataFrame, value: str, keys: Sequence[str], date:
         )
 
     parts = rows.groupBy("_part").agg(
-        F.count("*").alias("_n"), F.min(point("_i")).alias("_first"), F.max(point("_i")).alias("_last")
-    ).withColumn("_day", F.col("_part.day")).withColumn("_nth", F.col("_part.part"))
-    in_day = carried(parts, ["_day"], "_nth", "in_day")
-    days = in_day.groupBy("_day").agg(
-        F.sum("_n").alias("_n"), F.min("_first").alias("_first"), F.max("_last").alias("_last")
-    ).select("*", *[F.col(f"_day.{n}").alias(n) for n in names])
-    in_key = carried(days, keys, date, "in_key").select("_day", "_in_key", "_in_key_prev", "_in_key_next")
-    around = in_day.join(in_key, "_day").select(
-        "_part", (F.col("_in_key") + F.col("_in_day")).alias("_offset"),
-        F.coalesce(shifted("_in_day_prev", "_in_key"), "_in_key_prev").alias("_carry_prev"),
-        F.coalesce(shifted("_in_day_next", "_in_key"), "_in_key_next").alias("_carry_next"))
+        F.sum("_times").alias("_n"), F.min(point(F.col("_i"))).alias("_first"),
+        F.max(point(F.col("_i") + F.col("_times") - 1)).alias("_last")
+    )
+    in_key = ["_in_key", "_in_key_prev", "_in_key_next"]
+    if cut is None:
+        days = carried(parts.select("*", *[F.col(f"_part.{n}").alias(n) for n in names]), keys, date, "in_key")
+        around = days.select("_part", F.col("_in_key").alias("_offset"), F.col("_in_key_prev").alias("_carry_prev"),
+                             F.col("_in_key_next").alias("_carry_next"))
+    else:
+        parts = parts.select("*", F.struct(*[F.col(f"_part.{n}") for n in names]).alias("_day"), F.col("_part._path").alias("_nth"))
+        in_day = carried(parts, ["_day"], "_nth", "in_day")
+        days = in_day.groupBy("_day").agg(
+            F.sum("_n").alias("_n"), F.min("_first").alias("_first"), F.max("_last").alias("_last")
+        ).select("*", *[F.col(f"_day.{n}").alias(n) for n in names])
+        around = in_day.join(carried(days, keys, date, "in_key").select("_day", *in_key), "_day").select(
+            "_part", (F.col("_in_key") + F.col("_in_day")).alias("_offset"),
+            F.coalesce(shifted("_in_day_prev", "_in_key"), "_in_key_prev").alias("_carry_prev"),
+            F.coalesce(shifted("_in_day_next", "_in_key"), "_in_key_next").alias("_carry_next"))
     joined = rows.join(around, "_part", "left").withColumn("_pos", F.col("_offset") + F.col("_i"))
     up = in_part.orderBy("_i").rowsBetween(W.unboundedPreceding, 0)
     down = in_part.orderBy(F.desc("_i")).rowsBetween(W.unboundedPreceding, 0)
-    here = point("_pos")
-    return (
+    here = point(F.col("_pos"))
+    found = (
         joined.withColumn("_prev", F.coalesce(F.last(here, ignorenulls=True).over(up), "_carry_prev"))
         .withColumn("_next", F.coalesce(F.last(here, ignorenulls=True).over(down), "_carry_next"))
-        .select(*[F.col(f"_part.day.{n}").alias(n) for n in names], *others, "_pos", "_prev", "_next")
     )
+    own = [*[F.col(f"_part.{n}").alias(n) for n in names], *kept, "_prev", "_next"]
+    if cut is None:
+        return found.select(*own, "_pos")
+    many = found.where("_times > 1").select(*own, "_times", F.col("_pos").alias("_place"))
+    apart = repeat_rows(many, "_times", F.col("_place"), "_pos").drop("_place")
+    return found.where("_times = 1").select(*own, "_pos").unionByName(apart)
 
 
 def forward_fill(df: DataFrame, value: str, keys: Sequence[str] = (), date: str = "date",
-                 order: Sequence[str | Column] = (), out: str | None = None) -> DataFrame:
-    """Last known value at or before each row.  ``order`` ranks the rows of one day."""
-    rows = _with_known_neighbours(df, value, keys, date, order or [value])
+                 order: Sequence[str | Column] = (), out: str | None = None, bound: int = BOUND,
+                 folder: str | None = None, counted: DataFrame | None = None) -> DataFrame:
+    """Last known value at or before each row.  ``order`` ranks the rows of one day, ascending,
+    NULL first; days of more than ``bound`` rows are dealt over tasks.  ``counted`` may be a
+    smaller table that has the same busy days."""
+    rows = _with_known_neighbours(df, value, keys, date, order or [value], bound, folder, counted)
     return rows.withColumn(out or value, F.col("_prev.v")).drop("_prev", "_next", "_pos")
 
 
 def interpolate(df: DataFrame, value: str, keys: Sequence[str] = (), date: str = "date",
                 order: Sequence[str | Column] = (), by: str = "position",
-                out: str | None = None) -> DataFrame:
+                out: str | None = None, bound: int = BOUND, folder: str | None = None,
+                counted: DataFrame | None = None) -> DataFrame:
     """Linear interpolation of NULLs between known values, by row position or by date.
 
-    NULLs before the first known value stay; those after the last take its value.
+    NULLs before the first known value stay; those after the last take its value.  ``order``,
+    ``bound`` and ``counted`` are those of ``forward_fill``.
     """
-    rows = _with_known_neighbours(df, value, keys, date, order or [value])
+    rows = _with_known_neighbours(df, value, keys, date, order or [value], bound, folder, counted)
     axis, here = {"position": ("pos", F.col("_pos")), "date": ("day", day_number(F.col(date)))}[by]
     prev, nxt = F.col("_prev"), F.col("_next")
     share = F.try_divide(here - prev[axis], nxt[axis] - prev[axis])

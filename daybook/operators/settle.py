@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, ``spark.checkpoint.dir``; in local mode a temporary one where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", "")
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="daybook-"))
+    return spark.conf.get("spark.checkpoint.dir")
 
 
 def settle(df: DataFrame, name: str, folder: str) -> DataFrame:

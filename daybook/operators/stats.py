@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from daybook.functions.numeric import null_if_nan
+from daybook.operators.order import BOUND, exact_medians
 from daybook.operators.windows import numbered
 
 
@@ -88,11 +89,10 @@ def recency_ranked(df: DataFrame, series: str, as_of: Column, keys: Sequence[str
 
 
 def order_by_median(df: DataFrame, category: str, value: str, keys: Sequence[str] = (),
-                    out: str = "sort_key") -> DataFrame:
-    """Categories numbered by ascending median of ``value``.
+                    out: str = "sort_key", bound: int = BOUND, folder: str | None = None) -> DataFrame:
+    """Categories numbered by ascending median of ``value``; ``df`` may hold raw rows.
 
-    ``df`` is an aggregated table (one row per bin and category), so a category has at
-    most as many values as there are bins.
+    A category of more than ``bound`` values, or that many categories, are cut into parts.
     """
-    medians = df.groupBy(*keys, category).agg(F.median(null_if_nan(F.col(value))).alias("median"))
-    return numbered(medians, "median", category, out, keys)
+    medians = exact_medians(df, value, [*keys, category], "median", bound, folder)
+    return numbered(medians, "median", category, out, keys, bound, folder)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from daybook.functions.dates import day_number
 from daybook.functions.numeric import null_if_nan
+from daybook.operators import order
+from daybook.operators.order import BOUND
 from daybook.operators.settle import settle
 
 
@@ -81,28 +83,15 @@ def ranked_with_ties(counts: DataFrame, n: str, k: int, keys: Sequence[str] = ()
     return counts.join(ranks, [*keys, n]).select(*[F.col(f"`{c}`") for c in counts.columns], "rank")
 
 
-def numbered(df: DataFrame, value: str, name: str, out: str, keys: Sequence[str] = ()) -> DataFrame:
+def numbered(df: DataFrame, value: str, name: str, out: str, keys: Sequence[str] = (),
+             bound: int = BOUND, folder: str | None = None) -> DataFrame:
     """Rows numbered from 1 by ascending (``value``, ``name``) per key; NULL and NaN values come first.
 
-    Rows are counted by value and the first two letters of their name, and counts are added
-    up in bins of near values; then rows are numbered among those of their value and letters.
-    No task orders all rows of a key.
+    A key of more than ``bound`` rows is cut into parts along that order (``ordered_parts``),
+    however many rows share a value or the beginning of a name.
     """
-    v = F.coalesce(null_if_nan(F.col(value).cast("double")), F.lit(float("-inf")))
-    # One struct for all keys is never NULL, so that NULL keys meet in the join.
-    rows = df.select("*", F.struct(F.lit(0).alias("_all"), *keys).alias("_k"), v.alias("_v"),
-                     F.substring(F.coalesce(F.col(name), F.lit("")), 1, 2).alias("_letters"))
-    rows = rows.withColumn("_bin", F.floor(F.signum("_v") * F.log1p(F.abs("_v")) * 16).cast("long"))
-    place = ["_k", "_bin", "_v", "_letters"]
-    counts = rows.groupBy(*place).agg(F.count("*").alias("_n"))
-    before = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
-    bins = counts.groupBy("_k", "_bin").agg(F.sum("_n").alias("_n")).select(
-        "_k", "_bin", F.coalesce(F.sum("_n").over(before(W.partitionBy("_k").orderBy("_bin"))), F.lit(0)).alias("_far"))
-    near = F.coalesce(F.sum("_n").over(before(W.partitionBy("_k", "_bin").orderBy("_v", "_letters"))), F.lit(0))
-    offsets = counts.select(*place, near.alias("_near")).join(bins, ["_k", "_bin"])
-    number = F.row_number().over(W.partitionBy(*place).orderBy(name)) + F.col("_near") + F.col("_far")
-    return rows.join(offsets, place).select(*[F.col(f"`{c}`") for c in df.columns], number.cast("int").alias(out))
-
+    ranked = df.withColumn("_v", null_if_nan(F.col(value).cast("double")))
+    return order.numbered(ranked, ["_v", name], out, keys, bound, folder).drop("_v").withColumn(out, F.col(out).cast("int"))
 
 
 def restrict_to_top(df: DataFrame, series: str, k: int, keys: Sequence[str] = ()) -> DataFrame:
@@ -121,14 +110,16 @@ def repeat_rows(df: DataFrame, times: str, start: Column | None = None, out: str
     written by many tasks, a chunk at a time.
     """
     name = out or "_number"
-    rest = [F.col(c) for c in df.columns if c != times]
+    rest = [F.col(f"`{c}`") for c in df.columns if c != times]
     chunks = df.select(
         *rest, times, (F.lit(1) if start is None else start).alias("_start"),
         F.explode(F.sequence(F.lit(0), F.expr(f"({times} - 1) div {_CHUNK}"))).alias("_chunk"),
     )
     first = F.col("_start") + F.col("_chunk") * _CHUNK
     last = F.col("_start") + F.least(F.col(times), (F.col("_chunk") + 1) * _CHUNK) - 1
-    spread = chunks.repartition(*df.columns, "_chunk")
+    # With a number, adaptive execution leaves the tasks apart: a chunk is a small row that stands for many.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = chunks.repartition(tasks, *rest, "_chunk")
     numbered = spread.select(*rest, F.explode(F.sequence(first, last)).alias(name))
     return numbered if out else numbered.drop(name)
 

@@ -121,9 +121,9 @@ def daily_weight(measurements: DataFrame, as_of: DateLike, fill: str = "linear",
     spine = date_spine_fill(readings, as_of, keys)
     by_order = [*[f"_order_{i}" for i in range(len(order))], "value"]
     if fill == "linear":
-        filled = interpolate(spine, "value", keys, order=by_order, by=by)
+        filled = interpolate(spine, "value", keys, order=by_order, by=by, counted=readings)
     elif fill == "ffill":
-        filled = forward_fill(spine, "value", keys, order=by_order)
+        filled = forward_fill(spine, "value", keys, order=by_order, counted=readings)
     else:
         raise ValueError(f"unknown fill {fill!r}")
     return daily(filled.withColumn("body_mass", kg_to_lb(F.col("value"))), "body_mass", "min", keys)

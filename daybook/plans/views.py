@@ -13,6 +13,7 @@ from daybook.functions.text import lift_label, metric_label, title_case
 from daybook.operators.joins import classify
 from daybook.operators.kernel import with_ewma
 from daybook.operators.shape import bucket, display_range
+from daybook.operators.settle import settle, shared_folder
 from daybook.operators.stats import attach, order_by_median, recency_ranked
 from daybook.operators.windows import best_in_span, choose, ranked_with_ties
 
@@ -40,17 +41,19 @@ def one_rep_max_view(df: DataFrame, names: Sequence[str] = (), line: str = "roll
 
 def heatmap_cells(df: DataFrame, classes: DataFrame | None, metric: str, category: str,
                   bin_months: int, keys: Sequence[str] = (), series: str = "exercise_name",
-                  value: str = "one_rep_max", dedupe: bool = False) -> DataFrame:
+                  value: str = "one_rep_max", dedupe: bool = False, folder: str | None = None) -> DataFrame:
     """Frequency or Volume per time bin and category.
 
-    Sets are first counted per month and exercise.  Only these counts are binned and meet
-    the classification, whose several rows per exercise multiply counts, not sets.
+    Sets are first counted per month and exercise, and these counts are settled: the first month,
+    the bins and the classification, whose several rows per exercise multiply counts and not
+    sets, all come from them, so the sets are read once.
     """
     month = F.trunc("date", "MM").alias("date")
     months = df.groupBy(*keys, month, series).agg(
         F.count("*").alias("Frequency"), F.coalesce(F.sum(null_if_nan(F.col(value))), F.lit(0.0)).alias("Volume")
     )
-    anchored = attach(months, keys, df.select(*keys, month), _anchor=F.min("date"))
+    months = settle(months, "months", folder or shared_folder(df.sparkSession))
+    anchored = attach(months, keys, _anchor=F.min("date"))
     cells = anchored.withColumn("time_bin", month_bin(F.col("date"), F.col("_anchor"), bin_months))
     if classes is not None:
         cells = classify(cells, classes, series, config.CLASS_CATEGORIES if dedupe else ())
@@ -59,21 +62,22 @@ def heatmap_cells(df: DataFrame, classes: DataFrame | None, metric: str, categor
 
 def activity_heatmap(df: DataFrame, classes: DataFrame | None = None, metric: str = "Frequency",
                      category: str = "Push_Pull_Legs", bin_months: int = 2,
-                     keys: Sequence[str] = (), dedupe: bool = False) -> DataFrame:
+                     keys: Sequence[str] = (), dedupe: bool = False, folder: str | None = None) -> DataFrame:
     """Heat-map tiles: cells of clear categories with their bucket and the category's place.
 
     Per exercise, only the ones present in the most bins are shown.  Categories are ranked and
-    numbered in tables of a row per category; cells only meet the result.
+    numbered in tables of a row per category; cells are settled and only meet the result.
     """
     by_series = category not in config.CLASS_CATEGORIES
-    cells = heatmap_cells(df, classes, metric, category, bin_months, keys, dedupe=dedupe)
+    folder = folder or shared_folder(df.sparkSession)
+    cells = settle(heatmap_cells(df, classes, metric, category, bin_months, keys, dedupe=dedupe, folder=folder), "cells", folder)
     clear = cells.where(~F.col(category).isin(*config.UNCLEAR_LABELS) & F.col(category).isNotNull())
     if by_series:
         bins = clear.groupBy(*keys, category).agg(F.count("*").alias("_bins"))
         top = ranked_with_ties(bins, "_bins", config.TOP_SERIES, keys).select(*keys, category)
         clear = clear.join(top, [*keys, category], "left_semi")
     titled = clear.withColumn(category, title_case(F.col(category)))
-    order = order_by_median(titled, category, metric, keys).drop("median")
+    order = order_by_median(titled, category, metric, keys, folder=folder).drop("median")
     breaks = config.BUCKET_BREAKS[metric, "series" if by_series else "class", bin_months]
     return titled.join(order, [*keys, category]).select(
         *keys, category, "sort_key", "time_bin", metric, bucket(F.col(metric), breaks).alias("bucket"))
