@@ -12,14 +12,17 @@ the start of a range they would have to be a stored copy of a whole compressed r
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import re
 import uuid
 import zlib
+from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from daybook.llm.common import folder, ship, whole
+from daybook.llm.common import folder, ship, spread, whole
 
 _MAGIC, _STEP = b"\x1f\x8b\x08", 1 << 15
 _RECORD = "record_id string, record_type string, target_uri string, refers_to string, payload_bytes long, payload_digest string"
@@ -35,26 +38,28 @@ def gzip_member(data: bytes, level: int) -> bytes:
     return out if out[-1] == 0 else out + one(b"")
 
 
-def digest32(payload: bytes) -> str:
-    """Bare upper-case base32 SHA-1."""
-    import base64
-    import hashlib
+def base32(digest: bytes) -> str:
+    """Bare upper-case base32."""
+    return base64.b32encode(digest).decode()
 
-    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
+def name_of(page) -> str:
+    """An id as part of a header: percent signs for what a URI can't hold, nothing for null, one sign for empty text."""
+    return "" if page is None else quote(str(page), safe="") or "%"
 
-def record(page, url: str | None, payload: bytes, first, prefix: str, date: str) -> bytes:
-    """The WARC record of a page: a response, or a revisit of page ``first`` without the payload."""
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+
+def record(page, url: str | None, sha1: bytes, length: int, first, payload: bytes | None, prefix: str, date: str) -> bytes:
+    """The WARC record of a page: a response, or without the payload a revisit of page ``first``."""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}\r\n\r\n".encode()
     block = http if first is not None else http + payload
     lines = ["WARC/1.1", f"WARC-Type: {'response' if first is None else 'revisit'}",
-             f"WARC-Record-ID: <{prefix}{'' if page is None else page}>", f"WARC-Date: {date}"]
+             f"WARC-Record-ID: <{prefix}{name_of(page)}>", f"WARC-Date: {date}"]
     if url is not None:
         lines.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
     if first is not None:
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                  f"WARC-Refers-To: <{prefix}{first}>"]
-    lines += ["Content-Type: application/http;msgtype=response", f"WARC-Payload-Digest: sha1:{digest32(payload)}",
+                  f"WARC-Refers-To: <{prefix}{name_of(first)}>"]
+    lines += ["Content-Type: application/http;msgtype=response", f"WARC-Payload-Digest: sha1:{base32(sha1)}",
               f"Content-Length: {len(block)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -65,21 +70,29 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
     Of rows with equal payloads of ``least_bytes`` or more, those of the smallest id are responses and the others are
     revisits of it; rows that repeat the smallest id are all responses, as are rows without an id. Null html is empty.
+
+    Each task gives a payload to the shuffle once, however many of its rows share it; rows travel with its digests
+    alone and meet the payload only if they are responses.
     """
-    ship(pages.sparkSession)
+    spark = pages.sparkSession
+    ship(spark)
     rows = pages.select(F.col(id_col).alias("page"), F.col(url_col).alias("url"), whole(html_col).cast("binary").alias("payload"))
-    rows = rows.withColumn("_sha", F.sha2("payload", 256))
-    first = rows.groupBy("_sha").agg(F.min("page").alias("first"))
-    revisit = (F.octet_length("payload") >= least_bytes) & (F.col("page") != F.col("first"))
-    told = rows.join(first, "_sha").select("page", "url", "payload", F.when(revisit, F.col("first")).alias("first"))
+    rows = rows.withColumn("_sha", F.unhex(F.sha2("payload", 256)))
+    first = rows.groupBy("_sha").agg(F.min("page").alias("first"), F.first("payload").alias("payload"))
+    told = rows.select("page", "url", F.unhex(F.sha1("payload")).alias("sha1"), F.octet_length("payload").alias("length"), "_sha")
+    revisit = F.coalesce((F.col("length") >= least_bytes) & (F.col("page") != F.col("first")), F.lit(False))
+    told = told.join(first, "_sha").select("page", "url", "sha1", "length", F.when(revisit, F.col("first")).alias("first"),
+                                           F.when(~revisit, F.col("payload")).alias("payload"))
 
     def members(batches):
         from daybook.llm import warc as own
 
         for batch in batches:
-            rows = zip(*[c.to_pylist() for c in batch.columns])
-            out = [own.gzip_member(own.record(*row, prefix, date), level)[:-1] for row in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
+            # A few records at a time, so that a batch isn't held as Arrow, Python and compressed bytes at once.
+            for at in range(0, batch.num_rows, 64):
+                rows = zip(*[c.to_pylist() for c in batch.slice(at, 64).columns])
+                out = [own.gzip_member(own.record(*row, prefix, date), level)[:-1] for row in rows]
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
 
     packed = told.mapInArrow(members, "member binary").select(F.col("member").cast("string").alias("value"))
     packed.write.option("lineSep", "\0").text(path)
@@ -141,7 +154,7 @@ def parse(data: bytes) -> tuple | None:
         digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
         return bare("warc-record-id"), "revisit", bare("warc-target-uri"), bare("warc-refers-to"), length, digest, None
     return (bare("warc-record-id"), fields.get("warc-type"), bare("warc-target-uri"), bare("warc-refers-to"), len(block),
-            digest32(block), block)
+            base32(hashlib.sha1(block).digest()), block)
 
 
 def _fields(head: bytes) -> dict[str, str]:
@@ -185,7 +198,7 @@ def read_archives(spark: SparkSession, path: str, range_bytes: int = 32 << 20, w
     def batch_of(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    return ranges.repartition("path", "start").mapInArrow(records, _RECORD + ", payload binary" * with_payload)
+    return spread(ranges, "path", "start").mapInArrow(records, _RECORD + ", payload binary" * with_payload)
 
 
 def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -196,6 +209,10 @@ def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", ht
     path = f"{folder(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(pages, path, id_col, url_col, html_col, least_bytes, prefix)
     kind = pages.schema[id_col].dataType
-    number = lambda c: F.nullif(F.substring(c, len(prefix) + 1, 1 << 20), F.lit("")).cast(kind)
+
+    def number(c: str) -> Column:
+        name = F.substring(c, len(prefix) + 1, (1 << 31) - 1)
+        return F.when(name == "%", "").when(name != "", F.url_decode(name)).cast(kind)
+
     return read_archives(spark, path).select(number("record_id").alias(id_col), "payload_bytes", "payload_digest",
                                              "record_type", number("refers_to").alias("refers_to"))

@@ -274,7 +274,7 @@ def test_archives(spark, tmp_path):
 def test_only_whole_records_count():
     import io
 
-    good = warc.gzip_member(warc.record(1, "u", b"hello", None, "urn:", "d"), 6)
+    good = warc.gzip_member(warc.record(1, "u", hashlib.sha1(b"hello").digest(), 5, None, b"hello", "urn:", "d"), 6)
     other = warc.gzip_member(b"no record", 6)
     noise = b"\x1f\x8b\x08" + b"\x00" * 20 + b"\x1f\x8b"
     data = noise + good + other + noise + good + good[:40]
