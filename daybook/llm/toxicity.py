@@ -12,12 +12,15 @@ text is scored in a single pass over its letters with a table of 64 ** 3 weights
 
 from __future__ import annotations
 
+import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from daybook.llm.common import ship, whole
@@ -43,6 +46,7 @@ def _letter_table() -> np.ndarray:
 
 
 _TABLE = _letter_table()
+_BLANK = re.compile("[" + "".join(map(chr, np.flatnonzero(_TABLE == _EDGE))) + "]")
 
 
 def _pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
@@ -53,8 +57,12 @@ def _pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
         while at < len(text):
             stop = min(len(text), at + _PIECE)
             if stop < len(text):
-                blank = max(text.rfind(" ", at, stop), text.rfind("\n", at, stop))
-                stop = blank if blank > at else stop
+                # At white space of any kind, the next one if there is none in the piece, so no word is cut.
+                blank = max(text.rfind(" ", at + 1, stop), text.rfind("\n", at + 1, stop))
+                if blank < 0:
+                    found = _BLANK.search(text, stop)
+                    blank = found.start() if found else len(text)
+                stop = blank
             numbers.append(n)
             parts.append(text[at:stop])
             size += stop - at
@@ -232,21 +240,27 @@ def _signature(words: list[str]) -> tuple[int, int]:
 
 
 def train(samples: list[tuple[str, int]], landmarks: int = 160, negatives: int = 20_000, rounds: int = 3) -> Model:
-    """A model of (text, label) pairs; without both labels among them, one that gives all texts the same score.
+    """A model of (text, label) pairs, as ``fit`` makes it of their words."""
+    return fit([(Counter(_words(text)), label) for text, label in samples], landmarks, negatives, rounds)
+
+
+def fit(samples: list[tuple[dict[str, int], int]], landmarks: int = 160, negatives: int = 20_000, rounds: int = 3) -> Model:
+    """A model of texts given as (number of each word, label); without both labels among them, one that gives all texts
+    the same score. Of texts whose words have the same two smallest hashes, copies nearly always, the first counts.
 
     ``landmarks`` and ``negatives`` bound the words that others are compared to, and the clean words and those of toxic
     texts alone that are used, the nearest to toxic ones first.
     """
-    seen, bags, toxic, texts = set(), [], [], []
+    seen, bags, toxic, times = set(), [], [], []
     vocabulary: dict[str, int] = {}
-    for text, label in samples:
-        words = sorted({w for w in _words(text)})
+    for counts, label in samples:
+        words = sorted(counts)
         if not words or (sign := _signature(words)) in seen:
             continue
         seen.add(sign)
         bags.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words]))
+        times.append(np.array([counts[w] for w in words], float))
         toxic.append(label)
-        texts.append(text)
     toxic = np.array(toxic, int)
     seeds = _seeds(bags, toxic, len(vocabulary), landmarks // 2) if 0 < toxic.sum() < len(toxic) else []
     if not seeds:
@@ -285,7 +299,12 @@ def train(samples: list[tuple[str, int]], landmarks: int = 160, negatives: int =
         at = np.flatnonzero(fits)
         np.add.at(table, number[fits], w * beta[place[at]] / norm[place[at]])
     model = Model(table.astype(np.float32), float(v[-1]), np.zeros(3))
-    return Model(model.weights, model.bias, _logistic(model.features(texts), toxic))
+    strength = np.zeros(len(names))
+    for i in range(0, len(names), 20_000):
+        margin, part = model.margins(names[i:i + 20_000])
+        strength[i + part] = np.clip(margin, 0, 1) ** 2
+    features = [(np.log1p(4 * t @ strength[b]), np.log1p(t.sum()), 1.0) for b, t in zip(bags, times)]
+    return Model(model.weights, model.bias, _logistic(np.array(features), toxic))
 
 
 def _words(text: str) -> list[str]:
@@ -307,17 +326,51 @@ def is_held_out(id_col: str | Column, folds: int = 3, fold: int = 1) -> Column:
     return F.coalesce(F.crc32(column.cast("string")) % folds == fold, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int) -> list[tuple[str, int]]:
-    """At most ``most`` texts of either label, those of the smallest hashes of their ids, outside the held-out fold."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int) -> DataFrame:
+    """(_k, _t, _y): at most ``most`` texts of either label, those of the smallest hashes of their ids, outside the
+    held-out fold."""
     known = labels.select(F.col(id_col).alias("_k"), F.col(label_col).alias("_y")).filter(
         F.col("_y").isNotNull() & ~is_held_out("_k")).groupBy("_k").agg(F.max("_y").alias("_y"))
     order = [F.xxhash64("_k"), F.col("_k")]
     chosen = [known.filter(side).orderBy(*order).limit(most) for side in (F.col("_y") == 1, F.col("_y") != 1)]
     # Twice ``most`` rows of an id and a label.
     texts = docs.select(F.col(id_col).alias("_k"), whole(text_col).alias("_t"))
-    rows = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "_k").select("_k", "_t", "_y")
-    rows = rows.dropDuplicates(["_k"])
-    return [(t, int(y == 1)) for _, t, y in sorted(rows.collect(), key=lambda r: (str(r[0]), r[1]))]
+    return texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "_k").select("_k", "_t", "_y").dropDuplicates(["_k"])
+
+
+def learn(sample: DataFrame) -> Model:
+    """The model of a sample (_k, _t, _y). Tasks cut the texts into words, one task fits the machine to them; only its
+    table of weights reaches the driver."""
+    ship(sample.sparkSession)
+
+    def counted(batches):
+        from daybook.llm import toxicity as own
+
+        for batch in batches:
+            found = [Counter(own._words(t.as_py())) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([list(c) for c in found], pa.list_(pa.string())),
+                 pa.array([list(c.values()) for c in found], pa.list_(pa.int64())), batch.column(2)], names=["key", "words", "times", "y"])
+
+    def fitted(batches):
+        from daybook.llm import toxicity as own
+
+        samples = []
+        for batch in batches:
+            for words, times, y in zip(*[batch.column(k) for k in (1, 2, 3)]):
+                samples.append((dict(zip(words.as_py(), times.as_py())), int(y.as_py() == 1)))
+        model = own.fit(samples)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.astype(np.float32).tobytes()]), pa.array([float(model.bias)]),
+                                          pa.array([[float(x) for x in model.texts]])], names=["weights", "bias", "texts"])
+
+    rows = sample.select(F.col("_k").cast("string").alias("key"), "_t", F.col("_y").cast("int").alias("y")).mapInArrow(
+        counted, "key string, words array<string>, times array<long>, y int")
+    # One task, as the sample is bounded; without any row it still gives a model.
+    found = rows.repartition(1).sortWithinPartitions("key", "y").mapInArrow(fitted, "weights binary, bias double, texts array<double>").collect()
+    if not found:
+        return fit([])
+    weights, bias, texts = found[0]
+    return Model(np.frombuffer(weights, np.float32), bias, np.array(texts))
 
 
 def toxicity_score(model: Model, text_col: str | Column, spark) -> Column:
@@ -342,5 +395,5 @@ def with_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
     Null and empty texts get the score of a text without words. Rows without labels are scored alike.
     """
-    model = train(labelled_sample(docs, labels, id_col, text_col, label_col, most))
+    model = learn(labelled_sample(docs, labels, id_col, text_col, label_col, most))
     return docs.withColumn(score_col, toxicity_score(model, text_col, docs.sparkSession))
