@@ -105,13 +105,17 @@ def leaf_blocks(page: str) -> list[Block]:
         nearest = max(places[n][-1] if places.get(n) else 0 for n in names)
         return nearest if all(not places.get(n) or places[n][-1] < nearest for n in stop) else 0
 
-    while token := _TOKEN.search(page, at):
+    # Behind the last ">" no tag ends, so none is looked for there, however many begin.
+    marked = page.rfind(">") + 1
+    while at < marked and (token := _TOKEN.search(page, at, marked)):
         name = (token[2] or token[5] or "").lower()
         ending = bool(token[1] or token[4])
         if token.start() > at:
             take(page[at:token.start()])
         at = token.end()
         if not name:
+            if token[0].startswith("<!--") and not token[0].endswith("-->"):
+                at = len(page)  # a comment that is never closed
             continue
         if ending:
             if name in _BLOCKS:
@@ -146,7 +150,8 @@ def leaf_blocks(page: str) -> list[Block]:
         if name in _RAW:
             end = _RAW_END[name].search(page, at)
             at = end.start() if end else len(page)
-    take(page[at:])
+    comment = page.find("<!--", at)
+    take(page[at:] if comment < 0 else page[at:comment])
     flush()
     return blocks
 
