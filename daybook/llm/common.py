@@ -56,6 +56,13 @@ def spread(df: DataFrame, *columns: str | Column) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
 
 
+def repeated(df: DataFrame, times: str, at_once: int = 100_000) -> DataFrame:
+    """Each row as often as ``times`` says, without that column; a row is written in runs, so no long list is held."""
+    runs = df.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({times} - 1) div {at_once}"))))
+    left = F.least(F.lit(at_once).cast("long"), F.col(times) - F.col("_run") * at_once)
+    return runs.withColumn("_one", F.explode(F.sequence(F.lit(1).cast("long"), left))).drop(times, "_run", "_one")
+
+
 def whole(text: str | Column) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

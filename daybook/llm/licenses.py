@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from daybook.llm.common import grams, whole, words
+from daybook.llm.common import grams, repeated, whole, words
 
 K = 3
 #: Phrases that must stand word for word, and their labels.
@@ -59,7 +59,8 @@ def diagonals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
               k: int = K) -> DataFrame:
     """(_id, _row, n_words, template, label, base, n_grams, diagonal, places, first): a row per diagonal with votes.
 
-    A row whose template is null stands for each document. Rows repeating both the id and the text are one document.
+    Each document has a row at least, one without a template if none of its words is in one. Rows that repeat both the
+    id and the text are counted together: the largest ``rows`` of a document tells how many there are.
     """
     known = template_grams(docs.sparkSession, phrases, notices, k).withColumn("_hash", F.xxhash64("gram"))
     rows = (
@@ -73,7 +74,8 @@ def diagonals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     seen = met.filter(F.col("template").isNotNull() | F.col("pos").isNull() | (F.col("pos") == 0))
     return seen.groupBy("_id", "_row", "n_words", "template", "label", "base", "n_grams",
                         (F.col("pos") - F.col("place")).alias("diagonal")).agg(
-        F.collect_set("place").alias("places"), F.min("pos").alias("first"), F.max("pos").alias("last"))
+        F.collect_set("place").alias("places"), F.min("pos").alias("first"), F.max("pos").alias("last"),
+        F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("rows"))
 
 
 def spans(found: DataFrame, slack: int = 3) -> DataFrame:
@@ -98,7 +100,7 @@ def license_notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7,
                  slack: int = 3) -> DataFrame:
-    """(id, n_words, n_base, first_word, last_word, base_labels, labels, score): one row per document.
+    """(id, n_words, n_base, first_word, last_word, base_labels, labels, score): one row per row of ``docs``.
 
     ``n_base`` counts the places of phrases, ``first_word`` and ``last_word`` are their smallest and largest start
     (null if none), ``score`` is the largest coverage of a template by a merged span. Null and empty texts have no
@@ -107,14 +109,15 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     merged = spans(diagonals(docs, id_col, text_col), slack)
     place = F.col("base") & (F.size("places") == F.col("n_grams"))
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
-    return merged.groupBy("_id", "_row", "n_words").agg(
-        F.count_if(place).alias("n_base"),
+    found = merged.groupBy("_id", "_row", "n_words").agg(
+        F.max("rows").alias("_rows"), F.count_if(place).alias("n_base"),
         F.min(F.when(place, F.col("diagonal").cast("long"))).alias("first_word"),
         F.max(F.when(place, F.col("diagonal").cast("long"))).alias("last_word"),
         joined(F.when(place, F.col("label"))).alias("base_labels"),
         joined(F.when(place | (~F.col("base") & (F.col("coverage") >= threshold)), F.col("label"))).alias("labels"),
         F.coalesce(F.max("coverage"), F.lit(0.0)).alias("score"),
-    ).drop("_row").withColumnRenamed("_id", id_col)
+    )
+    return repeated(found, "_rows").drop("_row").withColumnRenamed("_id", id_col)
 
 
 def license_sql(threshold: float = 0.7, slack: int = 3) -> str:
