@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from daybook.llm.common import TOKEN, grams, whole, words, written
+from daybook.llm.common import TOKEN, grams, repeated, whole, words, written
 
 BITS = 64
 _PAIRS = 0x0000000100000001
@@ -27,27 +27,28 @@ def _signed(value: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(id, fingerprint long) per document: bit i is set if over half of the shingles' XXH64 (seed 42) have it.
+    """(id, fingerprint long, n_rows) per document: bit i is set if over half of the shingles' XXH64 (seed 42) have it.
 
     Shingles are ``width`` words with repeats; a shorter text is one shingle, an empty or null one has fingerprint 0.
-    Rows that repeat both the id and the text are one document.
+    Rows that repeat both the id and the text are one document, of ``n_rows`` rows.
     """
     size = F.size("_words")
     shingles = F.when((size > 0) & (size < width), F.array(F.concat_ws(" ", "_words"))).otherwise(grams("_words", width))
     rows = (
         docs.select(F.col(id_col).alias("_id"), whole(text_col).alias("_text"))
         .select("_id", F.xxhash64("_text").alias("_row"), words(F.col("_text"), TOKEN).alias("_words"))
-        .select("_id", "_row", F.explode_outer(shingles).alias("_gram"))
-        .select("_id", "_row", F.when(F.col("_gram").isNotNull(), F.xxhash64("_gram")).alias("_hash"))
+        .select("_id", "_row", F.posexplode_outer(shingles).alias("_pos", "_gram"))
+        .select("_id", "_row", "_pos", F.when(F.col("_gram").isNotNull(), F.xxhash64("_gram")).alias("_hash"))
     )
     # One sum counts bit i in its low half and bit i + 32 in its high half.
     counts = [F.sum(F.shiftright("_hash", i).bitwiseAND(F.lit(_PAIRS))).alias(f"_b{i}") for i in range(BITS // 2)]
-    summed = rows.groupBy("_id", "_row").agg(F.count("_hash").alias("_n"), *counts)
+    starts = F.count_if(F.coalesce("_pos", F.lit(0)) == 0).alias("n_rows")
+    summed = rows.groupBy("_id", "_row").agg(F.count("_hash").alias("_n"), starts, *counts)
     value: Column = F.lit(0).cast("long")
     for i in range(BITS):
         count = F.col(f"_b{i % 32}").bitwiseAND(F.lit(0xFFFFFFFF)) if i < 32 else F.shiftright(f"_b{i % 32}", 32)
         value = value.bitwiseOR(F.when(count * 2 > F.col("_n"), F.lit(_signed(1 << i))).otherwise(F.lit(0).cast("long")))
-    return summed.select(F.col("_id").alias(id_col), value.alias("fingerprint"))
+    return summed.select(F.col("_id").alias(id_col), value.alias("fingerprint"), "n_rows")
 
 
 def covering_masks(bits: list[int], radius: int) -> list[int]:
@@ -102,6 +103,19 @@ def _forests(radius: int):
     return spanning
 
 
+def _dealt(members: DataFrame, table: list[tuple[int, int, int]]) -> DataFrame:
+    """(path, key, fingerprint) of each member under each mask of its path."""
+    if len({p for p, _, _ in table}) == 1:
+        # All members are on the first path: its masks are written out by each row.
+        masks = F.explode(F.array(*[F.struct(F.lit(c).cast("long").alias("child"), F.lit(_signed(m)).cast("long").alias("mask")) for _, c, m in table]))
+        dealt = members.select("fingerprint", masks.alias("_m")).select("fingerprint", "_m.child", "_m.mask")
+    else:
+        # 225 or 3,375 rows.
+        masks = members.sparkSession.createDataFrame([(p, c, _signed(m)) for p, c, m in table], "path long, child long, mask long")
+        dealt = members.join(F.broadcast(masks), "path")
+    return dealt.select(F.col("child").alias("path"), F.col("fingerprint").bitwiseAND(F.col("mask")).alias("key"), "fingerprint")
+
+
 def links(prints: DataFrame, radius: int = 3, bucket: int = 256) -> DataFrame:
     """(a, b), a > b: links between distinct fingerprints that join the same ones as all pairs within ``radius``.
 
@@ -109,15 +123,11 @@ def links(prints: DataFrame, radius: int = 3, bucket: int = 256) -> DataFrame:
     again, three times at most: then seven bits are free.
     """
     bucket = max(bucket, 256)
-    spark = prints.sparkSession
     out = None
     paths, members = {0: 0}, prints.select(F.lit(0).cast("long").alias("path"), "fingerprint").distinct()
     while True:
         table = _finer(paths, radius)
-        masks = spark.createDataFrame([(p, c, _signed(m)) for p, c, m in table], "path long, child long, mask long")
-        # The table of masks is made above: 15, 225 or 3,375 rows.
-        dealt = members.join(F.broadcast(masks), "path").select(
-            F.col("child").alias("path"), F.col("fingerprint").bitwiseAND(F.col("mask")).alias("key"), "fingerprint")
+        dealt = _dealt(members, table)
         shared = dealt.groupBy("path", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         shared = written(dealt.join(shared, ["path", "key"]), "simhash-buckets")
         small = shared.filter(F.col("n") <= bucket).groupBy("path", "key").agg(F.collect_list("fingerprint").alias("all"))
@@ -150,7 +160,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                     radius: int = 3, bucket: int = 256) -> DataFrame:
-    """(id, fingerprint long, component): the smallest id that a document's fingerprint links to, itself included.
+    """(id, fingerprint long, component) per row: the smallest id that its fingerprint links to, itself included.
 
     Empty texts share fingerprint 0 and are linked like any others. A null id is never the smallest; a component of
     null ids alone has none. An empty table gives an empty result.
@@ -162,7 +172,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "fingerprint", "_least", F.coalesce("root", "fingerprint").alias("_root"))
     least = rooted.groupBy("_root").agg(F.min("_least").alias("component"))
     named = written(rooted.join(least, "_root").select("fingerprint", "component"), "simhash-components")
-    return prints.join(named, "fingerprint").select(id_col, "fingerprint", "component")
+    return repeated(prints.join(named, "fingerprint").select(id_col, "fingerprint", "component", "n_rows"), "n_rows")
 
 
 def as_hex(fingerprint: str | Column) -> Column:
