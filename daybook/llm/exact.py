@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from daybook.llm.common import folder, whole, written
 
@@ -45,12 +45,18 @@ def sha256(text: Column) -> Column:
 
 def entries(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column] = sha256,
             locator: Column | None = None) -> DataFrame:
-    """What the state needs of each row, also of a stream's: digest, id, length in code points, locator."""
+    """What the state needs of each row, also of a stream's: digest, id, length in code points, locator. A row that ties
+    with others in all of these is told from them by its place (``placed``)."""
     place = F.lit(None).cast("string") if locator is None else locator
     return docs.select(digest(normalised(text_col)).alias("digest"), F.col(id_col).alias("id"),
                        F.char_length(whole(text_col)).alias("length"), place.alias("locator"))
 
 
+def placed(rows: DataFrame) -> DataFrame:
+    """``rows``, read from files, a stream's too, with the place of each: file and row."""
+    return rows.select("*", F.concat_ws(":", "_metadata.file_name", "_metadata.row_index").alias("place"))
+
+
 @contextmanager
 def _settings(spark: SparkSession, values: dict[str, str]):
     before = {k: spark.conf.get(k, None) for k in values}
@@ -65,7 +71,8 @@ def _settings(spark: SparkSession, values: dict[str, str]):
 
 def run_stream(stream: DataFrame, checkpoint: str) -> None:
     """Take all rows of ``stream`` (as ``entries`` makes them) that are there now into the state at ``checkpoint``."""
-    best = F.struct((-F.col("length")).alias("shorter"), F.col("id"), F.col("locator"))
+    place = F.col("place") if "place" in stream.columns else F.lit(None).cast("string")
+    best = F.struct((-F.col("length")).alias("shorter"), F.col("id"), F.col("locator"), place.alias("place"))
     state = stream.groupBy("digest").agg(F.min(best).alias("best"), F.count(F.lit(1)).alias("seen"))
     with _settings(stream.sparkSession, STORE):
         query = (state.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint)
@@ -74,14 +81,14 @@ def run_stream(stream: DataFrame, checkpoint: str) -> None:
 
 
 def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """(digest, keep_id, keep_locator, group_size): a row per state row at ``checkpoint``, written beside it."""
+    """(digest, keep_id, keep_locator, keep_place, group_size): a row per state row at ``checkpoint``, written beside it."""
     with _settings(spark, STORE):
         state = spark.read.format("statestore").load(checkpoint)
         best, seen = [f.name for f in state.schema["value"].dataType.fields]
         value = F.col("value")
         return written(state.select(
             F.col("key.digest").alias("digest"), value[best]["id"].alias("keep_id"),
-            value[best]["locator"].alias("keep_locator"), value[seen].alias("group_size")), "exact-groups")
+            value[best]["locator"].alias("keep_locator"), value[best]["place"].alias("keep_place"), value[seen].alias("group_size")), "exact-groups")
 
 
 def clashing(docs: DataFrame, text_col: str, digest: Callable[[Column], Column] = sha256) -> DataFrame:
@@ -97,26 +104,25 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(id, keep_id, group_size, kept, digest, keep_locator) for each row, dropped ones too.
 
     Texts are equal if they are without white space; null counts as empty. The row of the longest original text, then
-    the smallest id, stays. A row that repeats another's id counts in the group, and is kept if that id is. A null id
-    is the smallest. An empty table gives an empty result.
+    the smallest id, stays: one row of each group, also where rows repeat ids and texts. A null id is the smallest. An
+    empty table gives an empty result.
     """
     spark = docs.sparkSession
     base = f"{folder(spark)}/exact-{uuid.uuid4().hex}"
     rows = entries(docs, id_col, text_col, digest, locator)
     rows.write.parquet(f"{base}/entries")
-    run_stream(spark.readStream.schema(rows.schema).option("maxBytesPerTrigger", str(max_bytes_per_trigger))
-               .parquet(f"{base}/entries"), f"{base}/checkpoint")
+    run_stream(placed(spark.readStream.schema(rows.schema).option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+                      .parquet(f"{base}/entries")), f"{base}/checkpoint")
     groups = read_state(spark, f"{base}/checkpoint")
-    seen = spark.read.schema(rows.schema).parquet(f"{base}/entries").select("digest", "id")
+    seen = placed(spark.read.schema(rows.schema).parquet(f"{base}/entries")).select("digest", "id", "place")
     clashing(docs, text_col, digest).write.parquet(f"{base}/clashing")
     clash = spark.read.schema("digest string").parquet(f"{base}/clashing")
-    if clash.isEmpty():
-        found = seen.join(groups, "digest")
-    else:
-        found = seen.join(clash, "digest", "left_anti").join(groups, "digest").unionByName(
-            _by_text(docs, id_col, text_col, digest, locator, clash))
-    return found.select(F.col("id").alias(id_col), "keep_id", "group_size",
-                        F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest", "keep_locator")
+    clashes = not clash.isEmpty()
+    found = (seen.join(clash, "digest", "left_anti") if clashes else seen).join(groups, "digest").select(
+        "digest", "id", "keep_id", "keep_locator", "group_size", (F.col("place") == F.col("keep_place")).alias("kept"))
+    if clashes:
+        found = found.unionByName(_by_text(docs, id_col, text_col, digest, locator, clash))
+    return found.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", "digest", "keep_locator")
 
 
 def _by_text(docs, id_col, text_col, digest, locator, clash) -> DataFrame:
@@ -125,7 +131,9 @@ def _by_text(docs, id_col, text_col, digest, locator, clash) -> DataFrame:
                       F.char_length(whole(text_col)).alias("length"),
                       (F.lit(None).cast("string") if locator is None else locator).alias("locator"))
     own = own.select("*", digest(F.col("_text")).alias("digest")).join(clash, "digest", "left_semi")
+    # Rows that also tie in id and length are numbered among themselves.
+    first = F.row_number().over(W.partitionBy("digest", "_text").orderBy(F.desc("length"), "id", "locator")) == 1
     best = F.struct((-F.col("length")).alias("shorter"), F.col("id"), F.col("locator"))
     groups = own.groupBy("digest", "_text").agg(F.min(best).alias("best"), F.count(F.lit(1)).alias("group_size"))
-    return own.select("digest", "_text", "id").join(groups, ["digest", "_text"]).select(
-        "digest", "id", F.col("best.id").alias("keep_id"), F.col("best.locator").alias("keep_locator"), "group_size")
+    return own.select("digest", "_text", "id", first.alias("kept")).join(groups, ["digest", "_text"]).select(
+        "digest", "id", F.col("best.id").alias("keep_id"), F.col("best.locator").alias("keep_locator"), "group_size", "kept")

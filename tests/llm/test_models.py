@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from daybook.llm import extract, lengths, mixing, packing, tokens, toxicity, warc
@@ -249,10 +250,37 @@ def test_spellings_are_probabilities():
     assert known > odd
 
 
+def test_pages_without_ends_are_read_at_once():
+    import time
+
+    begin = time.perf_counter()
+    for page in ("<a " * 700_000, '<p x="y ' * 200_000, "<!-- " * 300_000, "<p>text</p>" + "<a " * 300_000, "<p it's>" * 50_000):
+        extract.leaf_blocks(page)
+    assert time.perf_counter() - begin < 10
+    assert [b.text for b in extract.leaf_blocks("<p>a</p>x <!-- y <p>z")] == ["a", "x"]
+    assert [b.text for b in extract.leaf_blocks("<p>a</p>x <!-- y")] == ["a", "x"]
+    assert [b.text for b in extract.leaf_blocks("<p>a</p><!--b--><p>c<p>d > e")] == ["a", "c", "d > e"]
+
+
+def test_archives_with_ids_of_text(spark):
+    ids = ["a\r\nWARC-Type: x", "<>", "", "%", "é 1", "12", None, "a+b%20"]
+    page = spark.createDataFrame([(i, "u", "body", 1) for i in ids], "page_id string, url string, html string, payload_bytes int")
+    got = warc.archived(page).collect()
+    assert sorted(map(str, (r.page_id for r in got))) == sorted(map(str, ids))
+    assert {r.refers_to for r in got if r.record_type == "revisit"} == {""}
+
+
+def test_ranges_are_read_by_many_tasks(spark, tmp_path):
+    page = spark.createDataFrame([(i, "u", f"<p>{i}</p>" * 50) for i in range(300)], "page_id long, url string, html string")
+    warc.write_archives(page, str(tmp_path / "w"))
+    read = warc.read_archives(spark, str(tmp_path / "w"), 500).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in read) == 300 and len(read) > 1
+
+
 def test_archives(spark, tmp_path):
     body = "<p>é</p>" * 40
     rows = [(5, "http://a/x y\r\n", body), (2, None, body), (9, "u", body), (7, "u", None), (3, "u", ""), (None, "u", "z"), (4, "u", "big" * 400_000), (2, None, body)]
-    page = spark.createDataFrame(rows, "page_id long, url string, html string").withColumnRenamed("html", "html")
+    page = spark.createDataFrame(rows, "page_id long, url string, html string")
     want = set()
     for i, _, h in rows:
         data = (h or "").encode()

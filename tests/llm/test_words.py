@@ -18,8 +18,12 @@ def words(text, pattern=WORD):
 
 
 def test_license_scan(spark, docs, texts, no_docs):
-    got = {r.doc_id: r for r in licenses.license_scan(docs).collect()}
-    assert len(got) == len(texts) + 1
+    rows = licenses.license_scan(docs).collect()
+    got = {r.doc_id: r for r in rows}
+    assert len(got) == len(texts) + 1 and sorted(str(r.doc_id) for r in rows) == sorted(str(r.doc_id) for r in docs.collect())
+    # Rows whose text begins with a notice, repeated.
+    odd = spark.createDataFrame([(1, "mit license"), (1, "under the mit license"), (1, "under the mit license"), (2, None), (2, None), (2, "")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_words, r.n_base) for r in licenses.license_scan(odd).collect()) == [(1, 2, 0), (1, 4, 1), (1, 4, 1), (2, 0, 0), (2, 0, 0), (2, 0, 0)]
     for i, text in texts.items():
         w = words(text)
         places = [(p, label) for phrase, label in licenses.PHRASES for p in range(len(w)) if w[p:p + len(phrase.split())] == phrase.split()]
@@ -44,7 +48,12 @@ def test_exact_duplicates(spark, docs, texts, no_docs):
         for i, text in rows:
             same = [(-len(t or ""), j is not None, j or 0, j) for j, t in rows if bare(t) == bare(text)]
             assert (by_id[i].keep_id, by_id[i].group_size) == (min(same)[3], len(same)), i
-            assert by_id[i].kept == (by_id[i].keep_id == i)
+        # One row of each group is kept, whatever repeats.
+        kept = [r for r in got if r.kept]
+        assert len(kept) == len({bare(t) for _, t in rows}) and all(r.doc_id == r.keep_id for r in kept)
+        odd = exact.exact_duplicates(spark.createDataFrame([(1, "ab"), (1, "a b"), (2, "c"), (2, "c"), (None, "d"), (None, "d")], "doc_id long, text string"), digest=digest)
+        assert sorted((str(r.doc_id), r.group_size, r.kept) for r in odd.collect()) == sorted(
+            [("1", 2, True), ("1", 2, False), ("2", 2, True), ("2", 2, False), ("None", 2, True), ("None", 2, False)])
     assert by_id[4].digest == hashlib.sha256(b"word").hexdigest()[:1]
     assert exact.exact_duplicates(no_docs).collect() == []
 
@@ -88,7 +97,8 @@ def test_near_duplicates(spark, docs, unique_docs, texts, no_docs):
     got = simhash.near_duplicates(unique_docs).select("doc_id", simhash.as_hex("fingerprint").alias("f"), "component").collect()
     assert {r.doc_id: r.f for r in got} == {i: "%016x" % p for i, p in prints.items()}
     assert {r.doc_id: r.component for r in got} == label and label[2] == label[1] == label[3] == 1
-    assert simhash.near_duplicates(docs).filter("doc_id is null").first().component == 21
+    every = simhash.near_duplicates(docs).collect()
+    assert [r.component for r in every if r.doc_id is None] == [21] and len(every) == len(texts) + 2
     assert simhash.near_duplicates(no_docs).collect() == []
 
 
