@@ -2,14 +2,15 @@
 
 A stage takes (spark, docs, folder of the tables) and returns a table, which is written and read back as the next one's
 ``docs``. All but the last keep the columns of the documents, whatever they are called, and every document that they
-have nothing against; ids are unique, and documents without an id are kept unless they are toxic or have a kept copy.
+have nothing against. Ids are unique but for rows that exact dedup drops; documents without an id are kept unless they
+are toxic or a copy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from daybook.llm import decontaminate, exact, packing, simhash, toxicity
 from daybook.llm.common import written
@@ -31,11 +32,20 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the longest, then the smallest id; of rows that repeat an id and a text, one."""
+    """Of equal texts the longest, then the smallest id: one row, also where rows repeat ids and texts. Rows are dropped
+    by id and digest, so another text of the same id stays."""
     found = exact.exact_duplicates(docs)
-    left = _without(docs, found.filter(~F.col("kept")).select("doc_id"))
-    repeated = found.filter("kept").groupBy("doc_id", "digest").count().filter("count > 1")
-    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+    names = [F.col("doc_id").alias("_gone"), F.col("digest").alias("_same")]
+    kept, gone = found.filter("kept").select(*names), found.filter("not kept").select(*names).distinct()
+    keyed = docs.withColumn("_digest", exact.sha256(exact.normalised("text")))
+    on = F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.col("_digest") == F.col("_same"))
+    both = gone.alias("a").join(kept.alias("b"), F.expr("a._gone <=> b._gone AND a._same = b._same"), "left_semi")
+    left = keyed.join(gone, on, "left_anti")
+    if not both.isEmpty():
+        # Ids that repeat a kept text: the longest of their rows.
+        nth = F.row_number().over(W.partitionBy("doc_id", "_digest").orderBy(F.desc(F.char_length("text")), "text"))
+        left = left.unionByName(keyed.join(both, on, "left_semi").withColumn("_nth", nth).filter("_nth = 1").drop("_nth"))
+    return left.drop("_digest")
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
