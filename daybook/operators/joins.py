@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from daybook.functions.numeric import null_if_nan
+from daybook.operators.order import micros
 
 # output column -> (kind of measurement, "avg" | "sum")
 Wanted = Mapping[str, tuple[str, str]]
@@ -37,8 +38,12 @@ def full_outer_daily(days: DataFrame, rows: DataFrame, on: Sequence[str], fill:
     return matched.unionByName(alone, allowMissingColumns=True).fillna(dict(fill))
 
 
-# Blocks of time hold 2 ** _BITS blocks of the next finer kind; the finest are microseconds.
-_BITS = 3
+# A cell of time is 2 ** _CELL microseconds, about a minute; a block of cells holds 2 ** _WIDE
+# blocks of the next finer kind.  Inside a cell blocks hold 2 ** _FINE, down to microseconds.
+_CELL, _WIDE, _FINE = 26, 2, 3
+# Cells are counted from a time before all times.
+_ZERO = 1 << 37
+_GROUP = "struct<side: int, level: int, a: bigint, b: bigint, fine: int, block: bigint>"
 
 
 def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Wanted,
@@ -51,14 +56,16 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
     before its end; one that ends before it starts lies in none.  NaN counts as NULL.
     ``m_end=None`` declares instantaneous measurements.
 
-    An interval is cut into aligned blocks of time, few of each size, and reads one total
-    per block: of the block's instants, or of the measurements that end in the block and
-    start no earlier than the interval (a running total in descending order of their start).
-    Totals are only ever added, so a value outside an interval cannot touch it, and nothing
-    is paired: measurements and intervals become rows by the number of block sizes.  Only
-    blocks that some interval reads are totalled, so a task sorts at most one key's distinct
-    times of one block that fits into the longest interval.  Intervals of equal keys, start
-    and end are looked up once; whole rows meet the totals in a single join.
+    Time is cut into cells of about a minute, and these into a tree of aligned blocks.  A
+    measurement belongs to the smallest block that holds it, nearly always a cell.  An interval
+    adds up three things: the totals of the few blocks that make up the cells between its first
+    and its last; of the blocks that hold only its start or only its end, the measurements that
+    start no earlier or end no later, by running totals; and in the one block that holds both,
+    the measurements between the same parts of it, which the times of their ends cut once more.
+    Totals are only ever added, so a value outside an interval cannot touch it, and nothing is
+    paired: a measurement in a cell becomes two rows, an hour some fifteen.  Only groups that
+    some interval reads are sorted.  Intervals of equal keys, start and end are looked up once;
+    whole rows meet the totals in a single join.
     """
     # Per kind: summed value (x), non-NULL values (n), rows (r).
     v = null_if_nan(F.col(value).cast("double"))
@@ -70,36 +77,58 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
         totals[f"_n_{i}"] = (mine & v.isNotNull()).cast("bigint")
         totals[f"_r_{i}"] = mine.cast("bigint")
     sums = [F.sum(t).alias(t) for t in totals]
-    on = [*keys, "_level", "_block"]
-
-    micros = _micros(F.col(m_end or m_start), measurements.schema[m_end or m_start].dataType.typeName())
-    begin = _micros(F.col(m_start), measurements.schema[m_start].dataType.typeName())
-    wide = (
+    stamps = [(m_start, m_end or m_start, measurements), (start, end, intervals)]
+    times = [[micros(F.col(c), df.schema[c].dataType.typeName()) for c in (i, j)] for i, j, df in stamps]
+    wide = _placed(
         measurements.where(F.col(kind).isin(kinds))
-        .groupBy(*keys, begin.alias("_ms"), micros.alias("_me"))
-        .agg(*[F.sum(c).alias(t) for t, c in totals.items()])
-        .where("_ms <= _me")
-    )
-    looked_up = intervals.select(*keys, start, end).distinct().select(
-        "*", _micros(F.col(start), intervals.schema[start].dataType.typeName()).alias("_s"),
-        _micros(F.col(end), intervals.schema[end].dataType.typeName()).alias("_e"),
-    ).where("_s <= _e")
-    pieces = _pieces(looked_up)
-    # No block is longer than the longest interval.
-    top = looked_up.agg(F.expr(f"coalesce(cast((length(bin(max(_e - _s) + 1)) - 1) div {_BITS} as int), 0)"))
-    levelled = wide.select("*", F.explode(F.sequence(F.lit(0), top.scalar())).alias("_level")).withColumn(
-        "_block", F.expr(f"shiftright(_me, {_BITS} * _level)"))
+        .groupBy(*keys, times[0][0].alias("_s"), times[0][1].alias("_e"))
+        .agg(*[F.sum(c).alias(t) for t, c in totals.items()]).where("_s <= _e"))
     of_interval = [*keys, start, end]
-    if m_end is None:
-        read = pieces.join(levelled.groupBy(*on).agg(*sums), on)
-    else:
-        used = levelled.join(pieces.select(*on).distinct(), on, "left_semi")
-        points = used.select(*on, F.col("_ms").alias("_at"), F.lit(0).alias("_read"), *totals)
-        zeros = [F.lit(0).cast("double" if t.startswith("_x") else "bigint").alias(t) for t in totals]
-        reads = pieces.select(*on, start, end, F.col("_s").alias("_at"), F.lit(1).alias("_read"), *zeros)
-        later = W.partitionBy(*on).orderBy(F.desc("_at"), "_read").rowsBetween(W.unboundedPreceding, 0)
-        line = points.unionByName(reads, allowMissingColumns=True)
-        read = line.select(*keys, start, end, "_read", *[F.sum(t).over(later).alias(t) for t in totals]).where("_read = 1")
+    spans = _placed(intervals.select(*of_interval).distinct().select(
+        "*", times[1][0].alias("_s"), times[1][1].alias("_e")).where("_s <= _e"))
+
+    # Whole blocks between the first and the last cell.
+    between = _pieces(spans.select(*of_interval, F.expr("_c0 + 1").alias("_s"), F.expr("_c1 - 1").alias("_e")).where("_s <= _e"), _WIDE)
+    top = between.agg(F.coalesce(F.max("_level"), F.lit(-1))).scalar()
+    own = wide.groupBy(*keys, "_l", "_node").agg(*sums).where(F.col("_l") <= top)
+    risen = own.select("*", F.explode(F.sequence(F.col("_l"), top)).alias("_level")).withColumn(
+        "_block", F.expr(f"shiftright(_node, cast({_WIDE} * (_level - _l) as int))"))
+    blocks = risen.groupBy(*keys, "_level", "_block").agg(*sums)
+    inside = between.join(blocks, [*keys, "_level", "_block"]).select(*of_interval, *totals)
+
+    # Blocks that the interval's start or end lies in, up to the one that holds both.
+    part = lambda side, level, a, b="0L", fine="0", block="0L": (
+        f"cast(struct({side}, {level}, {a}, {b}, {fine}, {block}) as {_GROUP})")
+    at = lambda group, place: f"struct({group} as g, {place} as at)"
+    up = "if(_l > 0, sequence(0, _l - 1), cast(array() as array<int>))"
+    middle = "if(_lo + 1 < _hi, sequence(_lo + 1, _hi - 1), cast(array() as array<bigint>))"
+    edges = spans.select(*of_interval, F.explode(F.expr(f"""concat(
+        transform({up}, l -> {at(part(1, "l", f"shiftright(_c0, {_WIDE} * l)"), "_s")}),
+        transform({up}, l -> {at(part(2, "l", f"shiftright(_c1, {_WIDE} * l)"), "-_e")}),
+        transform({middle}, i -> {at(part(3, "_l", "i"), "_s")}),
+        transform({middle}, i -> {at(part(4, "_l", "i", "_hi"), "-_e")}))""")).alias("_r"))
+    # Where both ends lie in the same parts of that block as the measurement's, the ends decide.
+    same = ["_l", "_lo", "_hi"]
+    last = f"if(_l = 0, _s, greatest(_s, shiftleft(_hi - shiftright({_ZERO}L, cast({_WIDE} * (_l - 1) as int)), cast({_CELL} + {_WIDE} * (_l - 1) as int))))"
+    corners = _pieces(spans.select(*of_interval, *same, F.col("_s").alias("_at"), F.expr(last).alias("_s"), "_e").where("_s <= _e"), _FINE)
+    corner = corners.select(*of_interval, F.expr(at(part(5, "_l", "_lo", "_hi", "_level", "_block"), "_at")).alias("_r"))
+    reads = edges.unionByName(corner).select(*of_interval, "_r.g", "_r.at", F.lit(1).alias("_read"))
+    points = wide.select(*keys, *totals, F.explode(F.expr(f"""concat(
+        array({at(part(1, "_l", "_node"), "_s")}, {at(part(2, "_l", "_node"), "-_e")}),
+        if(_l > 0, array({at(part(3, "_l", "_hi"), "_s")}, {at(part(4, "_l", "_lo", "_hi"), "-_e")}),
+            cast(array() as array<struct<g: {_GROUP}, at: bigint>>)))""")).alias("_r"))
+    fine = F.coalesce(corners.agg(F.max("_level")).scalar(), F.lit(0))
+    met = wide.join(spans.select(*keys, *same).distinct(), [*keys, *same], "left_semi")
+    ends = met.select("*", F.explode(F.sequence(F.lit(0), fine)).alias("_level")).withColumn(
+        "_block", F.expr(f"shiftright(_e, {_FINE} * _level)"))
+    ends = ends.select(*keys, *totals, F.expr(at(part(5, "_l", "_lo", "_hi", "_level", "_block"), "_s")).alias("_r"))
+    used = points.unionByName(ends).select(*keys, *totals, "_r.g", "_r.at").join(
+        reads.select(*keys, "g").distinct(), [*keys, "g"], "left_semi")
+    zeros = [F.lit(0).cast("double" if t.startswith("_x") else "bigint").alias(t) for t in totals]
+    line = used.withColumn("_read", F.lit(0)).unionByName(reads.select("*", *zeros), allowMissingColumns=True)
+    later = W.partitionBy(*keys, "g").orderBy(F.desc("at"), "_read").rowsBetween(W.unboundedPreceding, 0)
+    partly = line.select(*of_interval, "_read", *[F.sum(t).over(later).alias(t) for t in totals]).where("_read = 1")
+    read = inside.unionByName(partly.drop("_read"))
     found = read.groupBy(*of_interval).agg(*sums)
     out = []
     for name, (k, how) in wanted.items():
@@ -111,28 +140,29 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
     return intervals.join(found, of_interval, "left").select(*[F.col(f"`{c}`") for c in intervals.columns], *out)
 
 
-def _pieces(intervals: DataFrame) -> DataFrame:
+def _placed(times: DataFrame) -> DataFrame:
+    """``times`` with the cells of ``_s`` and ``_e``, and the level, number and parts ``_lo``, ``_hi`` of the smallest
+    block that holds both; of a cell the parts are the cell itself."""
+    cells = times.withColumns({"_c0": F.expr(f"shiftright(_s, {_CELL}) + {_ZERO}L"), "_c1": F.expr(f"shiftright(_e, {_CELL}) + {_ZERO}L")})
+    level = f"cast(if(_c0 = _c1, 0, (length(bin(_c0 ^ _c1)) + {_WIDE - 1}) div {_WIDE}) as int)"
+    held = cells.withColumn("_l", F.expr(level)).withColumn("_node", F.expr(f"shiftright(_c0, {_WIDE} * _l)"))
+    below = f"greatest(0, {_WIDE} * (_l - 1))"
+    return held.withColumns({"_lo": F.expr(f"shiftright(_c0, {below})"), "_hi": F.expr(f"shiftright(_c1, {below})")})
+
+
+def _pieces(ranges: DataFrame, bits: int) -> DataFrame:
     """(_level, _block) of the fewest aligned blocks that make up ``_s`` .. ``_e``, as rows."""
-    levels = F.expr(f"sequence(0, cast((length(bin(_e - _s + 1)) - 1) div {_BITS} as int))")
-    # Blocks of a level that lie inside: _lo up to _hi; those of the next level: _lo1 up to _hi1.
-    inside = intervals.select("*", F.explode(levels).alias("_level")).selectExpr(
+    levels = F.expr(f"sequence(0, cast((length(bin(_e - _s + 1)) - 1) div {bits} as int))")
+    # Blocks of a level that lie inside: _first up to _stop; those of the next level: _first1 up to _stop1.
+    inside = ranges.select("*", F.explode(levels).alias("_level")).selectExpr(
         "*",
-        f"shiftright(_s + shiftleft(1L, {_BITS} * _level) - 1, {_BITS} * _level) as _lo",
-        f"shiftright(_e + 1, {_BITS} * _level) as _hi",
-        f"shiftright(_s + shiftleft(1L, {_BITS} * (_level + 1)) - 1, {_BITS} * (_level + 1)) as _lo1",
-        f"shiftright(_e + 1, {_BITS} * (_level + 1)) as _hi1",
-    ).where("_lo < _hi")
-    size = 1 << _BITS
-    own = F.expr(f"""if(_lo1 >= _hi1, sequence(_lo, _hi - 1), concat(
-        if(_lo < _lo1 * {size}, sequence(_lo, _lo1 * {size} - 1), cast(array() as array<bigint>)),
-        if(_hi1 * {size} < _hi, sequence(_hi1 * {size}, _hi - 1), cast(array() as array<bigint>))))""")
-    return inside.select("*", F.explode(own).alias("_block")).drop("_lo", "_hi", "_lo1", "_hi1")
-
-
-def _micros(ts: Column, kind: str) -> Column:
-    """Microseconds, increasing with ``ts`` in every session time zone."""
-    if kind == "timestamp":
-        return F.unix_micros(ts)
-    day = F.unix_date(F.to_date(ts)).cast("bigint")
-    second = (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
-    return ((day * 24 + F.hour(ts)) * 60 + F.minute(ts)) * 60_000_000 + second
+        f"shiftright(_s + shiftleft(1L, {bits} * _level) - 1, {bits} * _level) as _first",
+        f"shiftright(_e + 1, {bits} * _level) as _stop",
+        f"shiftright(_s + shiftleft(1L, {bits} * (_level + 1)) - 1, {bits} * (_level + 1)) as _first1",
+        f"shiftright(_e + 1, {bits} * (_level + 1)) as _stop1",
+    ).where("_first < _stop")
+    size = 1 << bits
+    own = F.expr(f"""if(_first1 >= _stop1, sequence(_first, _stop - 1), concat(
+        if(_first < _first1 * {size}, sequence(_first, _first1 * {size} - 1), cast(array() as array<bigint>)),
+        if(_stop1 * {size} < _stop, sequence(_stop1 * {size}, _stop - 1), cast(array() as array<bigint>))))""")
+    return inside.select("*", F.explode(own).alias("_block")).drop("_first", "_stop", "_first1", "_stop1")
