@@ -10,6 +10,7 @@ from daybook.operators import joins, labels, shape
 from daybook.operators.scores import ScoreSpec, ScoreTerm, composite_score
 from daybook.functions.numeric import interaction
 from daybook.plans.diary import diary_scores, diary_wide
+from daybook.plans.diary import diary_sparse as sparse_job
 from daybook.sources.literal import literal_table
 
 
@@ -53,6 +54,25 @@ def bucketize_volume(t):
     return cells.withColumn("bucket", shape.bucket(F.col("v"), config.BUCKET_BREAKS["Volume", "series", 2]))
 
 
+# Breaks of each order priority's own, from its clerks' numbers.
+@query("""WITH b AS (SELECT o_orderpriority, unnest([0.0, 1.0, 2.0 + length(o_orderpriority), 9.0, 'Infinity'::DOUBLE]) * 20000 AS bound
+        FROM (SELECT DISTINCT o_orderpriority FROM orders) WHERE o_orderpriority <> '5-LOW'),
+    v AS (SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 7 = 0 THEN 20000.0 WHEN o_orderkey % 11 = 0 THEN 0.0
+        WHEN o_orderkey % 13 = 0 THEN -1.0 ELSE o_totalprice END AS v FROM orders),
+    r AS (SELECT o_orderpriority, bound AS lo, lead(bound) OVER (PARTITION BY o_orderpriority ORDER BY bound) AS hi FROM (SELECT DISTINCT * FROM b))
+    SELECT o_orderkey, CASE WHEN hi IS NULL THEN NULL WHEN isinf(hi) THEN CAST(CAST(lo AS BIGINT) AS VARCHAR) || '+'
+        ELSE CAST(CAST(lo AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(hi AS BIGINT) AS VARCHAR) END AS bucket
+    FROM v LEFT JOIN r ON r.o_orderpriority = v.o_orderpriority AND hi IS NOT NULL AND v <= hi AND (v > lo OR (v = 0 AND lo = 0))""")
+def bucketize_by_key(t):
+    kinds = t.orders.select("o_orderpriority").where("o_orderpriority <> '5-LOW'").distinct()
+    steps = F.array(F.lit(0.0), F.lit(1.0), F.lit(2.0) + F.char_length("o_orderpriority"), F.lit(9.0), F.lit(float("inf")))
+    breaks = kinds.select("o_orderpriority", (F.explode(steps)).alias("step")).select("o_orderpriority", (F.col("step") * 20000).alias("bound"))
+    key = F.col("o_orderkey")
+    value = F.when(key % 7 == 0, 20000.0).when(key % 11 == 0, 0.0).when(key % 13 == 0, -1.0).otherwise(F.col("o_totalprice"))
+    rows = t.orders.select("o_orderkey", "o_orderpriority", value.alias("v"))
+    return shape.bucket_by_key(rows, "v", breaks, ["o_orderpriority"]).select("o_orderkey", "bucket")
+
+
 @query("""SELECT p_partkey, unnest(string_split(p_name, ' ')) AS label FROM part WHERE p_size > 3
     UNION ALL SELECT p_partkey, NULL FROM part WHERE p_size <= 3""")
 def explode_labels(t):
@@ -213,7 +233,7 @@ _NAMES = ("liberty", "negative_liberty", "floss", "asked_how_friends_are", "posi
 _DIARY_AS_OF = "2024-02-05"
 
 
-def _diary(t):
+def _diary(t, job=None):
     days = t.user_days
     note = F.when(F.col("view") > 2, F.concat(F.lit("view "), F.col("view").cast("int").cast("string")))
     main = days.select(
@@ -225,6 +245,8 @@ def _diary(t):
         "user_id", F.col("ID").alias("SYMPTOM"), F.datediff("date", F.lit("2024-01-01").cast("date")).alias("ENTRY"),
         F.when(F.col("level") > 0, F.col("level")).alias("VALUE"), "event_id")
     # One ordinal scale for everybody, so that the last day is the same for all users.
+    if job:
+        return job(main, kinds.select("ID", "NAME"), entries, _DIARY_AS_OF, ["user_id"], "event_id")
     return diary_wide(main, kinds.select("ID", "NAME"), entries, _DIARY_AS_OF, ["user_id"], None, "event_id")
 
 
@@ -254,6 +276,14 @@ def diary_clean(t):
         "user_id", "date", "note", "elevated", "depressed", "anxiety", "liberty", "floss", "asked_how_friends_are")
 
 
+# The symptoms of the sparse diary, an entry per row.
+@query(f"""WITH {_DIARY_SQL} SELECT user_id, date, note, elevated, name, value FROM (
+    SELECT user_id, date, note, elevated, liberty, floss, asked_how_friends_are FROM diary)
+    UNPIVOT (value FOR name IN (liberty, floss, asked_how_friends_are))""")
+def diary_sparse(t):
+    return _diary(t, sparse_job).select("user_id", "date", "note", "elevated", F.explode("symptoms").alias("name", "value"))
+
+
 @query(f"WITH {_DIARY_SQL} SELECT user_id, date, floss - 1.0 AS floss, asked_how_friends_are - 1.0 AS asked_how_friends_are FROM diary")
 def counters_from_scores(t):
     return shape.counters_from_scores(_diary(t), ["user_id", "date"], ["floss", "asked_how_friends_are"])

@@ -31,6 +31,63 @@ def ordered_rules(text: Column, default: Column, rules: Sequence[tuple[str, floa
     return F.coalesce(*reversed(hits), default)
 
 
+_GRAM = 3
+
+
+def _grams(text: Column) -> Column:
+    """The distinct runs of three characters of a text, in one pass over it."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?s)(?=(.{3}))"), F.lit(1)))
+
+
+def literal_grams(pattern: Column, regex: bool = True) -> Column:
+    """Runs of three characters that every text a pattern is found in must hold; none is found for alternatives, options
+    and groups, which need not be there, nor for classes and single letters."""
+    if not regex:
+        return _grams(pattern)
+    gap = "\n"
+    rest = pattern
+    for old in (r"\\Q.*", r"\\.", r"\[\^?\]?[^\]]*\]"):
+        rest = F.regexp_replace(rest, old, gap)
+    for _ in range(4):
+        rest = F.regexp_replace(rest, r"\([^()]*\)[*+?{]?", gap)
+    for old in (r"[^\n][*?]", r"[^\n]\{[^}]*\}", r"[.^$+\n]+"):
+        rest = F.regexp_replace(rest, old, gap)
+    runs = F.filter(F.split(rest, gap), lambda run: F.char_length(run) >= _GRAM)
+    found = F.array_distinct(F.flatten(F.transform(runs, _grams)))
+    return F.when(pattern.rlike(r"[|]|\(\?") | rest.rlike(r"[()\[\]]"), F.array().cast("array<string>")).otherwise(found)
+
+
+def rule_scores(df: DataFrame, text: str, rules: DataFrame, out: str, default: Column | None = None, regex: bool = True,
+                ordinal: str = "ordinal", pattern: str = "pattern", score: str = "score") -> DataFrame:
+    """Rows with the score of the rule of the largest ``ordinal`` found in ``text``, else ``default``.
+
+    ``rules`` is a table of any size.  Each rule is looked up by the rarest run of three characters that its pattern
+    cannot do without; only texts that hold this run are held against the pattern, each distinct text once.  A text
+    gathers the rules that it is held against, so it travels once and not once per rule.  Rules without such a run
+    (alternatives, single letters) are few and are tried on every distinct text.  A NULL text, pattern or ordinal
+    matches nothing; of equal ordinals the largest score counts.
+    """
+    texts = df.select(F.col(text).alias("_text")).where(F.col(text).isNotNull()).distinct().withColumn("_h", F.xxhash64("_text"))
+    told = rules.select(F.col(ordinal).alias("_nth"), F.col(pattern).alias("_pattern"), F.col(score).alias("_score")).where(
+        F.col("_nth").isNotNull() & F.col("_pattern").isNotNull()).distinct()
+    told = told.withColumn("_needs", literal_grams(F.col("_pattern"), regex))
+    rule = F.struct("_nth", "_score", "_pattern")
+    wanted = told.select(rule.alias("_rule"), F.explode("_needs").alias("_gram"))
+    # Texts travel as a hash, which may bring a rule too many to a text but never one too few.
+    grams = texts.select("_h", F.explode(_grams(F.col("_text"))).alias("_gram")).join(wanted.select("_gram").distinct(), "_gram", "left_semi")
+    often = grams.groupBy("_gram").agg(F.count("*").alias("_n"))
+    # A run that no text holds is the rarest; the rule then meets nothing.
+    anchors = wanted.join(often, "_gram", "left").groupBy("_rule").agg(
+        F.min_by("_gram", F.struct(F.coalesce("_n", F.lit(0)), "_gram")).alias("_gram"))
+    met = grams.join(anchors, "_gram").groupBy("_h").agg(F.collect_list("_rule").alias("_rules"))
+    loose = told.where(F.size("_needs") == 0).agg(F.collect_list(rule)).scalar()
+    tried = texts.join(met, "_h", "left").select("_text", F.concat(F.coalesce("_rules", F.array()), loose).alias("_rules"))
+    found = F.filter("_rules", lambda r: F.call_function("rlike" if regex else "contains", F.col("_text"), r["_pattern"]))
+    best = tried.select("_text", F.array_max(found).alias("_best")).where("_best IS NOT NULL")
+    value = F.coalesce(F.col("_best._score"), F.lit(None) if default is None else default)
+    return df.join(best, F.col(text) == F.col("_text"), "left").withColumn(out, value).drop("_best", "_text")
+
+
 # Hex digits of the hash that make up a block; a block holds 1/16**digits of the names.
 _BLOCK_DIGITS = 3
 

@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, ``spark.checkpoint.dir``; in local mode a temporary one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", "")
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="daybook-"))
-    return spark.conf.get("spark.checkpoint.dir")
+_OPEN: dict[int, list[str]] = {}
 
 
 def settle(df: DataFrame, name: str, folder: str) -> DataFrame:
@@ -29,4 +21,25 @@ def settle(df: DataFrame, name: str, folder: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for opened in _OPEN.values():
+        opened.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system its path names."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def settled(spark: SparkSession) -> Iterator[list[str]]:
+    """Removes what is settled inside the block at its end; results must be written or collected in it."""
+    paths: list[str] = []
+    _OPEN[id(paths)] = paths
+    try:
+        yield paths
+    finally:
+        del _OPEN[id(paths)]
+        for path in paths:
+            remove(spark, path)

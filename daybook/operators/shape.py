@@ -45,6 +45,17 @@ def pivot_first(df: DataFrame, rows: Sequence[str], name: str, value: str, order
     return df.groupBy(*rows).pivot(name, list(names)).agg(first)
 
 
+def pivot_map(df: DataFrame, rows: Sequence[str], name: str, value: str, order: str, out: str = "cells") -> DataFrame:
+    """Long to one map column per row, name -> first non-NULL value by ``order``; names without a value are left out.
+
+    The sparse form of ``pivot_first``: no column per name, so nothing has to know all names.
+    """
+    first = F.min_by(value, F.when(F.col(value).isNotNull(), F.col(order)))
+    cells = df.where(F.col(name).isNotNull()).groupBy(*rows, name).agg(first.alias("_value"))
+    entry = F.when(F.col("_value").isNotNull(), F.struct(F.col(name), F.col("_value")))
+    return cells.groupBy(*rows).agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias(out))
+
+
 def unpivot_pairs(df: DataFrame, ids: Sequence[str], metrics: Sequence[str],
                   suffix: str = "_partial") -> DataFrame:
     """One row per metric with its ``value`` and ``value_partial``, in one pass."""
@@ -100,3 +111,25 @@ def bucket(value: Column, breaks: Sequence[float]) -> Column:
 def display_range(df: DataFrame, col: str, lo, hi) -> DataFrame:
     """Rows a limited axis would show; apply after windows and running sums."""
     return df.where(F.col(col).between(F.lit(lo), F.lit(hi)))
+
+
+def bucket_by_key(df: DataFrame, value: str, breaks: DataFrame, keys: Sequence[str], bound: str = "bound", out: str = "bucket") -> DataFrame:
+    """Label of the right-closed bucket of each value among its key's own breaks, as ``bucket`` gives it.
+
+    ``breaks`` has a row per key and break, the lowest included; infinity is the open end.  A key's breaks are one
+    sorted list, which its rows meet in an equi join, so no row is paired with the breaks of others or sorted; NULL keys
+    meet NULL keys.  NULL, NaN and values outside the breaks have no bucket.
+    """
+    listed = breaks.where(F.col(bound).isNotNull() & ~F.isnan(F.col(bound).cast("double"))).groupBy(
+        F.struct(F.lit(0).alias("_all"), *keys).alias("_key")).agg(
+        F.array_sort(F.array_distinct(F.collect_list(F.col(bound).cast("double")))).alias("_bounds"))
+    keyed = df.withColumn("_key", F.struct(F.lit(0).alias("_all"), *keys))
+    v = F.col(value).cast("double")
+    # The number of breaks below the value; the first bucket includes its lower end.
+    below = F.size(F.filter("_bounds", lambda b: b < v))
+    place = F.when(v == F.element_at("_bounds", 1), 1).otherwise(below)
+    lo, hi = F.get("_bounds", place - 1), F.get("_bounds", place)
+    text = lambda b: F.format_string("%.0f", b)
+    label = F.when(hi == float("inf"), F.concat(text(lo), F.lit("+"))).otherwise(F.concat(text(lo), F.lit("-"), text(hi)))
+    inside = v.isNotNull() & ~F.isnan(v) & (place >= 1) & (place < F.size("_bounds"))
+    return keyed.join(listed, "_key", "left").withColumn(out, F.when(inside, label)).drop("_key", "_bounds")

@@ -13,7 +13,7 @@ from daybook.operators.fill import coalesce_mean, fill_after_first_seen
 from daybook.operators.labels import ordered_rules
 from daybook.operators.scores import ScoreSpec, score_metrics, score_specs
 from daybook.operators.shape import (
-    backdate, counters_from_scores, first_column, pivot_first, snake_names, unpivot_pairs,
+    backdate, counters_from_scores, first_column, pivot_first, pivot_map, snake_names, unpivot_pairs,
 )
 
 _DATE_TEXT = "date_(yyyy-mm-dd)"
@@ -40,6 +40,48 @@ def symptom_days(symptoms: DataFrame, entries: DataFrame, as_of: DateLike, keys:
     return pivot_first(dated.join(defs, [*own, "SYMPTOM"]), [*keys, "date"], "_name", "VALUE", order, names)
 
 
+def symptom_maps(symptoms: DataFrame, entries: DataFrame, as_of: DateLike, keys: Sequence[str] = (),
+                 order: str = "row_order", out: str = "symptoms") -> DataFrame:
+    """``symptom_days`` with one map per day, name -> value, in place of a column per name; no name is read beforehand."""
+    own = [k for k in keys if k in symptoms.columns]
+    defs = symptoms.select(
+        *own, F.col("ID").alias("SYMPTOM"),
+        F.lower(F.regexp_replace("NAME", r"\s+", "_")).alias("_name"),
+    )
+    dated = backdate(entries, "ENTRY", as_of, keys)
+    return pivot_map(dated.join(defs, [*own, "SYMPTOM"]), [*keys, "date"], "_name", "VALUE", order, out)
+
+
+def diary_sparse(main: DataFrame, symptoms: DataFrame, entries: DataFrame, as_of: DateLike, keys: Sequence[str] = (),
+                 order: str = "row_order", out: str = "symptoms") -> DataFrame:
+    """The diary with a map of symptoms per day: those recorded, and 1 for those recorded before but not on the day.
+
+    The same values as ``diary_wide``, for people with symptoms of their own: a day holds only the names that its
+    own person ever used, whatever the number of names of all people.
+    """
+    days = snake_names(main)
+    days = days.withColumn("date", F.to_date(F.col(f"`{_DATE_TEXT}`"))).drop("id", _DATE_TEXT)
+    mapped = days.join(symptom_maps(symptoms, entries, as_of, keys, order, "_cells"), [*keys, "date"], "left").withColumn(
+        "_cells", F.coalesce("_cells", F.create_map().cast("map<string,double>")))
+    parts = [F.col("_cells").getItem(n) for n in ("liberty", "positive_liberty", "negative_liberty")]
+    liberty = F.coalesce(parts[0], (parts[1] + parts[2]) / 2)
+    rest = F.map_filter("_cells", lambda n, _: ~n.isin("liberty", "positive_liberty", "negative_liberty"))
+    whole = F.map_concat(rest, F.when(liberty.isNotNull(), F.create_map(F.lit("liberty"), liberty)).otherwise(
+        F.create_map().cast("map<string,double>")))
+    mapped = mapped.withColumn("_cells", whole)
+    # Seen on days that the diary has.
+    first = mapped.select(*keys, "date", F.explode("_cells").alias("_name", "_v")).groupBy(*keys, "_name").agg(F.min("date").alias("_date"))
+    known = first.groupBy(F.struct(F.lit(0).alias("_all"), *keys).alias("_key")).agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("_name", "_date")))).alias("_known"))
+    filled = mapped.withColumn("_key", F.struct(F.lit(0).alias("_all"), *keys)).join(known, "_key", "left")
+    missing = F.map_filter("_known", lambda n, d: (d < F.col("date")) & ~F.map_contains_key("_cells", n))
+    resting = F.coalesce(F.transform_values(missing, lambda n, d: F.lit(1.0)), F.create_map().cast("map<string,double>"))
+    done = filled.withColumn(out, F.map_concat("_cells", resting)).drop("_key", "_known", "_cells")
+    numbers = [f.name for f in done.schema.fields
+               if f.name not in keys and f.dataType.typeName() in ("double", "integer", "long", "float")]
+    return first_column(fill_after_first_seen(done, numbers, keys).fillna("", subset=["note"]), "date")
+
+
 def diary_wide(main: DataFrame, symptoms: DataFrame, entries: DataFrame, as_of: DateLike,
                keys: Sequence[str] = (), names: Sequence[str] | None = None,
                order: str = "row_order") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -31,9 +33,13 @@ def build_session(app_name: str = "daybook", master: str | None = None, **conf:
 def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    ``fallback`` is used only where the session has no ``spark.checkpoint.dir``.
+    ``fallback`` is used only where the session has no ``spark.checkpoint.dir``; in local mode,
+    where one machine is all there is, a temporary folder is set if there is neither.
     """
     folder = spark.conf.get("spark.checkpoint.dir", "") or fallback
+    if not folder and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="daybook-")
+        spark.conf.set("spark.checkpoint.dir", folder)
     if not folder:
         raise ValueError("set spark.checkpoint.dir or pass a folder all executors can reach")
     return folder.rstrip("/")

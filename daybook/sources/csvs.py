@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from daybook import schemas
 from daybook.functions.numeric import null_if_nan
+from daybook.operators.settle import remove
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType,
@@ -66,3 +69,42 @@ def save_all(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet")
             paths[name] = f"{folder.rstrip('/')}/{name}"
             df.write.mode("overwrite").format(fmt).save(paths[name])
     return paths
+
+
+def publish_all(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> str:
+    """Write all tables to a new version below ``folder`` and switch readers to it at the end; returns the version.
+
+    A version becomes visible by one small file, written when every table is complete; if a job dies before,
+    readers go on with the version before it.  Old versions stay until ``drop_versions`` removes them.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    save_all(tables, f"{folder.rstrip('/')}/{version}", fmt)
+    row = spark.createDataFrame([(version, fmt, sorted(tables))], _VERSION)
+    row.coalesce(1).write.mode("append").json(f"{folder.rstrip('/')}/_versions")
+    return version
+
+
+_VERSION = "version string, format string, tables array<string>"
+
+
+def _versions(spark: SparkSession, folder: str) -> list:
+    """(version, format, tables) of all versions, the newest first; a row per run of ``publish_all``."""
+    return sorted(spark.read.schema(_VERSION).json(f"{folder.rstrip('/')}/_versions").collect(), reverse=True)
+
+
+def read_published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of the newest complete version."""
+    version, fmt, names = _versions(spark, folder)[0]
+    base = f"{folder.rstrip('/')}/{version}"
+    if fmt == "csv":
+        return {n: spark.read.option("header", True).csv(f"{base}/{n}.csv") for n in names}
+    return {n: spark.read.format(fmt).load(f"{base}/{n}") for n in names}
+
+
+def drop_versions(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:
+    """Remove the tables of all but the newest ``keep`` versions, which no reader should still use; returns their names."""
+    gone = [v[0] for v in _versions(spark, folder)[keep:]]
+    for version in gone:
+        remove(spark, f"{folder.rstrip('/')}/{version}")
+    return gone
