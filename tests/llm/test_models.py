@@ -227,27 +227,101 @@ def test_scores_depend_on_word_order(spark):
     assert all(r.score > r.base_score for r in ordered)
 
 
-def test_spellings_are_probabilities():
-    """All words of two letters, their ends and all longer beginnings add up to one; common beginnings cost less."""
-    table = np.zeros((len(mixing.ORDERS), 1 << mixing.SLOT_BITS, 2), np.float32)
-    words = pa.array([b"kalo", b"kalomi", b"kami", b"lo"] * 5, pa.binary())
-    for _, slots, bit in mixing.Bits(words).each():
-        for k, slot in enumerate(slots):
-            np.add.at(table[k], (slot, bit), 1)
-    weights, _, curve = mixing.learn(table, [words])
-    middle = mixing._squash(np.linspace(-mixing._RANGE, mixing._RANGE, mixing._CURVE))
-    correction = (curve[:, :, 1] + 4 * middle) / (curve.sum(axis=2) + 4)
-    single = pa.array([bytes([b]) for b in range(256)], pa.binary())
-    first = np.zeros(256)
-    bits = mixing.Bits(single)
-    for k, slots, bit in bits.each():
-        odds, seen = mixing._odds(table, slots, None)
-        mixed = (weights.T.take(seen * 8 + k, axis=1) * odds).sum(axis=0)
-        p = np.clip((mixing._squash(mixed) + correction[seen, mixing._knot(mixed)]) / 2, 1e-6, 1 - 1e-6)
-        first += np.where(bit == 1, np.log(p), np.log(1 - p))[bits.starts]
-    assert np.exp(first).sum() == pytest.approx(1)
-    known, odd = mixing.spelling(table, weights, correction, pa.array([b"kalo", b"qzxj"], pa.binary()))
-    assert known > odd
+def _mixed_in_plain_python(code, learnt, contexts, runs, block):
+    """What a mixer gives for runs of (symbols, contexts, own), learning from its own: exact contexts and single bits."""
+    path = lambda s: list(zip(*[a.tolist() for a in code.spread(np.array([s]))[1:]]))
+    counts = [defaultdict(lambda: [0, 0]) for _ in range(4)]
+    for i, s in enumerate(learnt):
+        for node, bit in path(s):
+            for k, c in enumerate([0, *contexts[i]]):
+                counts[k][c, node][bit] += 1
+    weights, curve = mixing.first_weights().astype(float), np.zeros((mixing._GATES * mixing._KNOTS, 2))
+    out = []
+    for symbols, given, own in runs:
+        for begin in range(0, len(symbols), block):
+            steps, met = [], []
+            for i in range(begin, min(begin + block, len(symbols))):
+                total = 0.0
+                for node, bit in path(symbols[i]):
+                    odds, seen = [], []
+                    for k, c in enumerate([0, *given[i]]):
+                        n = list(counts[k].get((c, node), (0, 0)))
+                        n[bit] -= own
+                        odds.append(math.log((n[1] + 0.4) / (n[0] + 0.4)))
+                        seen.append(sum(n))
+                    odds.append(0.3)
+                    level = [sum(seen[k] >= x for x in (1, 2, 5)) for k in (1, 2)]
+                    gate = level[0] * 3 + min(level[1], 2)
+                    mixed = min(max(float(weights[:, gate] @ odds), -8.0), 8.0)
+                    p, knot = 1 / (1 + math.exp(-mixed)), gate * mixing._KNOTS + round((mixed + 8) * 2)
+                    q = (p + (curve[knot, 1] + 4 * mixing._MIDDLE[knot]) / (curve[knot].sum() + 4)) / 2
+                    total += math.log10(q if bit else 1 - q)
+                    steps.append((gate, (bit - p) * np.array(odds)))
+                    met.append((knot, bit))
+                out.append(total)
+            if own:
+                number = Counter(g for g, _ in steps)
+                for gate, step in steps:
+                    weights[:, gate] += 0.02 / math.sqrt(number[gate]) * step
+                for knot, bit in met:
+                    curve[knot, bit] += 1
+    return out
+
+
+def test_mixer_against_plain_python(monkeypatch):
+    monkeypatch.setattr(mixing, "_BLOCK", 16)
+    monkeypatch.setattr(mixing, "_LEAST_BITS", 22)  # no two contexts share a slot
+    rng = random.Random(2)
+    words = np.array([rng.choice([0, 0, 1, 2, 3, 4, -1]) if rng.random() < 0.5 else 5 for _ in range(150)])
+    symbols = words + 1
+    code = mixing.Code(np.bincount(symbols, minlength=8) + 1)
+    give = lambda w: list(zip(*[c.tolist() for c in mixing.word_contexts(w)(0, len(w))]))
+    new = np.array([5, 0, -1, 4, 6, 3])
+    mixer = mixing.Mixer(code, symbols, mixing.word_contexts(words))
+    found = [*mixer.run(symbols, mixing.word_contexts(words), True, True), *mixer.run(new + 1, mixing.word_contexts(new), False, False)]
+    want = _mixed_in_plain_python(code, symbols.tolist(), give(words), [(symbols.tolist(), give(words), 1), ((new + 1).tolist(), give(new), 0)], 16)
+    assert found == pytest.approx(want, rel=1e-3, abs=1e-3)
+
+
+def test_contexts_end_with_texts_and_words():
+    first, second = mixing.word_contexts(np.array([4, 7, -1])), mixing.word_contexts(np.array([1, 2, 3, -1, 4, 7, -1]))
+    assert [c.tolist() for c in first(0, 3)] == [c.tolist() for c in second(4, 7)]
+    letters = lambda t: [c.tolist() for c in mixing.letter_contexts(np.frombuffer(t, np.uint8))(len(t) - 3, len(t))]
+    assert letters(b"ab ") == letters(b"xyz ab ") != letters(b"xab ")
+
+
+def test_code_and_mixer_are_proper():
+    """Codes are as short as the best; a mixer's symbols add up to one in any context."""
+    counts = np.array([50, 1, 7, 7, 2, 30, 1])
+    code = mixing.Code(counts)
+    heap, cost = sorted(counts.tolist()), 0
+    while len(heap) > 1:
+        cost += heap[0] + heap[1]
+        heap = sorted([heap[0] + heap[1], *heap[2:]])
+    assert sum(0.5 ** n for n in code.size.tolist()) == 1 and int(code.size @ counts) == cost
+    one = mixing.Code(np.array([3]))
+    assert one.size.tolist() == [0] and len(one.spread(np.zeros(2, int))[1]) == 0
+    rng = np.random.default_rng(1)
+    words = rng.integers(-1, 6, 5000)
+    mixer = mixing.Mixer(code, words + 1, mixing.word_contexts(words))
+    mixer.run(words + 1, mixing.word_contexts(words), True, True)
+    for a, b in ((0, 1), (5, -1), (3, 3)):
+        given = [np.repeat(c[-1:], 7) for c in mixing.word_contexts(np.array([a, b, 0]))(0, 3)]
+        assert (10 ** mixer.block(np.arange(7), given, False, False)).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_crowded_slots_keep_their_ratio():
+    keys = np.array([6] * 1000 + [7] * 10 + [2] * 3 + [9], np.uint32)
+    table = mixing._table(keys, 10)
+    assert (table[3] >> 8, table[3] & 255) == (255, 2) and (table[1] >> 8, table[1] & 255) == (3, 0) and table[4] == 1
+    assert np.count_nonzero(table) == 3 and not mixing._table(np.empty(0, np.uint32), 10).any()
+
+
+def test_shards_do_not_depend_on_tasks(spark, unique_docs):
+    """Several shards; the same scores however the rows lie in partitions."""
+    first = mixing.language_model_scores(unique_docs.repartition(1), shard_bytes=40_000).collect()
+    second = mixing.language_model_scores(unique_docs.repartition(7), shard_bytes=40_000).collect()
+    assert {r.doc_id: r.score for r in first} == pytest.approx({r.doc_id: r.score for r in second}, rel=1e-9)
 
 
 def test_pages_without_ends_are_read_at_once():
