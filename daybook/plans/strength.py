@@ -10,9 +10,11 @@ from daybook import config
 from daybook.functions.numeric import null_if_nan, one_rep_max
 from daybook.operators.fill import dense_fill
 from daybook.operators.joins import full_outer_daily
+from daybook.operators.settle import settle
 from daybook.operators.shape import lower_names
 from daybook.operators.stats import daily
 from daybook.operators.windows import with_series_maxima
+from daybook.session import shared_folder
 
 UNKNOWN_EXERCISE = "Unknown"
 MAXIMA = {"cummax_one_rep_max": None, "rolling_90d_max": 90}
@@ -54,7 +56,11 @@ def daily_volume(strength: DataFrame, keys: Sequence[str] = (), value: str = "on
 
 
 def daily_volume_with_energy(strength: DataFrame, energy: DataFrame, keys: Sequence[str] = (),
-                             measures: Sequence[str] = ("one_rep_max",)) -> DataFrame:
-    """Daily sums of ``measures`` beside the energy rows; no energy counts as 0."""
+                             measures: Sequence[str] = ("one_rep_max",), folder: str | None = None) -> DataFrame:
+    """Daily sums of ``measures`` beside the energy rows; no energy counts as 0.
+
+    The sums, a row per day, are settled, so the sets are read once.
+    """
     volume = strength.groupBy(*keys, "date").agg(*[F.sum(null_if_nan(F.col(m))).alias(m) for m in measures])
-    return full_outer_daily(volume, energy, [*keys, "date"], {"total_energy_burned": 0.0})
+    days = settle(volume, "daily-volume", folder or shared_folder(strength.sparkSession))
+    return full_outer_daily(days, energy, [*keys, "date"], {"total_energy_burned": 0.0})

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from daybook import build_session
 from daybook.catalog.registry import UNWEIGHTED, Tables
+from daybook.operators import fill, stats, windows
 from daybook.operators.joins import enrich_intervals
 from daybook.plans.strength import strength_metrics, with_one_rep_max
 
@@ -65,7 +66,7 @@ def main(n: int) -> None:
     hours = events.where("event_type = 'signup'").select(
         "user_id", "event_id", "start", (F.col("start") + F.expr("interval 1 hour")).alias("end"))
     wanted = {"click_mean": ("click", "avg"), "view_sum": ("view", "sum")}
-    timed("intervals, blocks of time", enrich_intervals(
+    timed("intervals, tree of cells", enrich_intervals(
         hours, events, wanted, ["user_id"], m_end=None, kind="event_type"))
     m = events.select(F.col("user_id").alias("u"), F.col("start").alias("t"), "event_type", "value").where(
         "event_type IN ('click', 'view')")
@@ -73,6 +74,20 @@ def main(n: int) -> None:
     timed("intervals, pairs", theta.groupBy(*hours.columns).agg(
         F.expr("avg(value) FILTER (WHERE event_type = 'click')").alias("click_mean"),
         F.expr("sum(value) FILTER (WHERE event_type = 'view')").alias("view_sum")))
+
+    # A third of all readings at one time, of which half are the same unknown one.
+    tied = F.col("user_id") == -1
+    rows = events.select("user_id", F.when(tied, F.lit("2024-01-05").cast("date")).otherwise(F.to_date("start")).alias("date"),
+                         F.when(tied, F.lit(0)).otherwise(F.hour("start")).alias("at"),
+                         F.when(tied & (F.col("event_id") % 2 == 0), -1).otherwise(F.col("event_id")).alias("event_id"),
+                         F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("value"))
+    rows = rows.withColumn("value", F.when(F.col("event_id") >= 0, F.col("value")))
+    timed("interpolation, a third of all rows in one tie", fill.interpolate(rows, "value", ["user_id"], order=["at", "event_id"], bound=200_000))
+    names = spark.range(1_000_000 * max(1, n // 10)).select(
+        F.concat(F.lit("the same beginning "), F.lpad(F.col("id").cast("string"), 9, "0")).alias("c"), F.lit(1.0).alias("v"))
+    timed("numbers by median, one median and one beginning", stats.order_by_median(names, "c", "v", bound=200_000))
+    one = spark.createDataFrame([("a", 20_000_000)], "s string, times long")
+    timed("one row written 20,000,000 times", windows.repeat_rows(one, "times", out="nth"))
     spark.stop()
 
 
