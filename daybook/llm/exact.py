@@ -3,9 +3,9 @@
 A streaming aggregation keeps one state row per digest of the normalised text and never expires it: the number of
 rows seen, and the smallest (negative length, id, locator) among them, so it names the row that stays and where its
 text can be read again. The state lives in RocksDB on the executors' disks and in the checkpoint, not in memory, and a
-later run on the same checkpoint goes on from it. Texts whose digest was seen before are compared byte for byte:
-partial aggregation holds one text per digest and task, so a text that a third of all rows share costs no more than
-any other, and texts that differ under one digest are grouped by themselves.
+later run on the same checkpoint goes on from it. Texts whose digest was seen before, and no others, are compared byte
+for byte: partial aggregation holds one text per digest and task, so a text that a third of all rows share costs no more
+than any other, and texts that differ under one digest are grouped by themselves.
 """
 
 from __future__ import annotations
@@ -57,6 +57,16 @@ def placed(rows: DataFrame) -> DataFrame:
     return rows.select("*", F.concat_ws(":", "_metadata.file_name", "_metadata.row_index").alias("place"))
 
 
+def row_locator() -> Column:
+    """Where a row of a Parquet table lies: file and row."""
+    return F.concat_ws("#", "_metadata.file_path", "_metadata.row_index")
+
+
+def located(table: DataFrame, places: DataFrame, place_col: str = "keep_locator") -> DataFrame:
+    """The rows of a Parquet ``table`` that lie at ``places`` (as ``row_locator`` names them), with the place."""
+    return table.select(row_locator().alias(place_col), "*").join(places.select(place_col).distinct(), place_col)
+
+
 @contextmanager
 def _settings(spark: SparkSession, values: dict[str, str]):
     before = {k: spark.conf.get(k, None) for k in values}
@@ -91,10 +101,12 @@ def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
             value[best]["locator"].alias("keep_locator"), value[best]["place"].alias("keep_place"), value[seen].alias("group_size")), "exact-groups")
 
 
-def clashing(docs: DataFrame, text_col: str, digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """The digests under which texts of different bytes were found."""
+def clashing(docs: DataFrame, text_col: str, groups: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
+    """The digests of ``groups`` under which ``docs`` has texts of different bytes. Only hits, digests that were seen more
+    than once, are compared; a digest of one row can't clash."""
+    hits = groups.filter("group_size > 1").select("digest")
     text = docs.select(normalised(text_col).alias("_text")).select(digest(F.col("_text")).alias("digest"), "_text")
-    both = text.groupBy("digest").agg(F.min("_text").alias("least"), F.max("_text").alias("most"))
+    both = text.join(hits, "digest", "left_semi").groupBy("digest").agg(F.min("_text").alias("least"), F.max("_text").alias("most"))
     return both.filter("least <> most").select("digest")
 
 
@@ -115,7 +127,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                       .parquet(f"{base}/entries")), f"{base}/checkpoint")
     groups = read_state(spark, f"{base}/checkpoint")
     seen = placed(spark.read.schema(rows.schema).parquet(f"{base}/entries")).select("digest", "id", "place")
-    clashing(docs, text_col, digest).write.parquet(f"{base}/clashing")
+    clashing(docs, text_col, groups, digest).write.parquet(f"{base}/clashing")
     clash = spark.read.schema("digest string").parquet(f"{base}/clashing")
     clashes = not clash.isEmpty()
     found = (seen.join(clash, "digest", "left_anti") if clashes else seen).join(groups, "digest").select(

@@ -21,7 +21,7 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    found = exact.exact_duplicates(docs, locator=F.col("_metadata.file_path"))
+    found = exact.exact_duplicates(docs, locator=exact.row_locator())
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 

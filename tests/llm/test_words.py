@@ -58,6 +58,15 @@ def test_exact_duplicates(spark, docs, texts, no_docs):
     assert exact.exact_duplicates(no_docs).collect() == []
 
 
+def test_locators_lead_to_the_kept_texts(spark, docs, tmp_path):
+    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+    table = spark.read.parquet(str(tmp_path / "docs"))
+    found = exact.exact_duplicates(table, locator=exact.row_locator()).filter("kept and doc_id is not null")
+    kept = {r.doc_id: r.keep_locator for r in found.collect()}
+    rows = exact.located(table, found).collect()
+    assert {r.doc_id: r.keep_locator for r in rows} == kept and len(rows) == len(kept)
+
+
 def test_state_outlives_a_run(spark, docs, tmp_path):
     """The second run goes on from the first one's state, a file at a time."""
     rows = exact.entries(docs, "doc_id", "text")
