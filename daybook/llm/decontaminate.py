@@ -100,7 +100,7 @@ class Windows:
                 owners.setdefault(tuple(words[at:at + width]), set()).add(n)
         self.owners = [sorted(v) for v in owners.values()]
         self.sizes = np.array([len(w) for w in owners], np.int64)
-        self.words = np.full((len(owners), width), -1)
+        self.words = np.full((len(owners), width), -1, np.int32)
         for i, w in enumerate(owners):
             self.words[i, :len(w)] = w
 
@@ -139,6 +139,17 @@ class Windows:
         return bases, edges[::2], edges[1::2], met
 
 
+_BUILT: dict[tuple, Windows] = {}
+
+
+def built(items: list, key: tuple, width: int) -> Windows:
+    """The windows of a block of items, made once by each worker, which holds one block's at a time."""
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = Windows(items, width)
+    return _BUILT[key]
+
+
 def _blocks(items: DataFrame, id_col: str, text_col: str, words: int) -> Iterator[list[tuple[object, str | None]]]:
     block, size = [], 0
     for row in items.select(id_col, text_col).toLocalIterator():
@@ -151,12 +162,13 @@ def _blocks(items: DataFrame, id_col: str, text_col: str, words: int) -> Iterato
 
 
 def search(index: DataFrame, items: DataFrame, width: int = 13, slack: int = 0, id_col: str = "item_id",
-           text_col: str = "text", block_words: int = 4_000_000) -> DataFrame:
+           text_col: str = "text", block_words: int = 1_000_000) -> DataFrame:
     """(id, n_words, spans, items) of each document: merged places [start, stop) in words, and the items met there.
 
     A window is met where its words stand one after the other; with ``slack``, where each word stands at most that many
     words from its place as the rarest one gives it. A shorter item is one window, one without words is none. More than
-    ``block_words`` words of items are searched for in several passes, whose results are merged. Rows of the same id are
+    ``block_words`` words of items are searched for in several passes, whose results are merged; the driver hands on the
+    texts of one block at a time, and workers make its windows. Rows of the same id are
     one item; an item without an id has spans but is not listed.
     """
     spark = index.sparkSession
@@ -165,19 +177,22 @@ def search(index: DataFrame, items: DataFrame, width: int = 13, slack: int = 0,
     schema = f"segment long, nth long, id {kinds[0].simpleString()}, n_words long, spans {_SPANS}, items array<{kinds[1].simpleString()}>"
     found = None
     for block in _blocks(items, id_col, text_col, block_words):
-        windows = spark.sparkContext.broadcast(Windows(block, width))
+        shared, key = spark.sparkContext.broadcast(block), (uuid.uuid4().hex, width)
+
+        def searched(batches, shared=shared, key=key):
+            from daybook.llm import decontaminate as own
 
-        def searched(batches, windows=windows):
+            windows = own.built(shared.value, key, width)
             for batch in batches:
                 for row in batch.to_pylist():
                     parts = [np.frombuffer(row[c], np.int32).astype(np.int64) for c in ("first", "places")]
                     sizes = np.array(row["sizes"], np.int64)
-                    bases, low, high, met = windows.value.search(row["ids"], sizes, row["terms"], *parts, slack)
+                    bases, low, high, met = windows.search(row["ids"], sizes, row["terms"], *parts, slack)
                     spans = [[] for _ in row["ids"]]
                     for d, a, b in zip((np.searchsorted(bases, low, "right") - 1).tolist(), low.tolist(), high.tolist()):
                         spans[d].append({"start": a - int(bases[d]), "stop": b - int(bases[d])})
                     n = len(sizes)
-                    items = [[windows.value.items[i] for i in sorted(m)] for m in met]
+                    items = [[windows.items[i] for i in sorted(m)] for m in met]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(([row["segment"]] * n, range(n), row["ids"], row["sizes"], spans, items), types)],
                         names=["segment", "nth", "id", "n_words", "spans", "items"])
