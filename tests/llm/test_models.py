@@ -229,8 +229,8 @@ def test_scores_depend_on_word_order(spark):
 
 def _mixed_in_plain_python(code, learnt, contexts, runs, block):
     """What a mixer gives for runs of (symbols, contexts, own), learning from its own: exact contexts and single bits."""
-    path = lambda s: list(zip(*[a.tolist() for a in code.spread(np.array([s]))[1:]]))
-    counts = [defaultdict(lambda: [0, 0]) for _ in range(4)]
+    path = lambda s: [divmod(x, 2) for x in code.spread(np.array([s]))[1].tolist()]
+    counts = [defaultdict(lambda: [0, 0]) for _ in range(3)]
     for i, s in enumerate(learnt):
         for node, bit in path(s):
             for k, c in enumerate([0, *contexts[i]]):
@@ -313,7 +313,7 @@ def test_code_and_mixer_are_proper():
 def test_crowded_slots_keep_their_ratio():
     keys = np.array([6] * 1000 + [7] * 10 + [2] * 3 + [9], np.uint32)
     table = mixing._table(keys, 10)
-    assert (table[3] >> 8, table[3] & 255) == (255, 2) and (table[1] >> 8, table[1] & 255) == (3, 0) and table[4] == 1
+    assert [divmod(int(table[i]), 256) for i in (3, 1, 4)] == [(2, 255), (0, 3), (1, 0)]
     assert np.count_nonzero(table) == 3 and not mixing._table(np.empty(0, np.uint32), 10).any()
 
 
