@@ -83,18 +83,14 @@ def explode_labels(t):
 @query("""SELECT s.exercise_name, Muscle_Group, Push_Pull_Legs, count(*) AS n, sum(reps) AS reps FROM sets s
     LEFT JOIN classes c ON c.exercise_name = s.exercise_name GROUP BY ALL""")
 def classify_join_fanout(t):
-    rows = joins.classify(t.sets, t.classes)
-    return rows.groupBy("exercise_name", "Muscle_Group", "Push_Pull_Legs").agg(
-        F.count("*").alias("n"), F.sum("reps").alias("reps"))
+    return joins.classified_totals(t.sets, t.classes, ["Muscle_Group", "Push_Pull_Legs"], ["reps"])
 
 
 @query("""WITH c AS (SELECT DISTINCT exercise_name, Anterior_Posterior, Push_Pull_Legs FROM classes)
     SELECT s.exercise_name, Anterior_Posterior, Push_Pull_Legs, count(*) AS n, sum(reps) AS reps FROM sets s LEFT JOIN c
     ON c.exercise_name = s.exercise_name GROUP BY ALL""")
 def classify_join_dedup(t):
-    rows = joins.classify(t.sets, t.classes, dedupe=config.CLASS_CATEGORIES)
-    return rows.groupBy("exercise_name", *reversed(config.CLASS_CATEGORIES)).agg(
-        F.count("*").alias("n"), F.sum("reps").alias("reps"))
+    return joins.classified_totals(t.sets, t.classes, config.CLASS_CATEGORIES[::-1], ["reps"], dedupe=config.CLASS_CATEGORIES)
 
 
 # Classes of the words part names are made of; the words not listed have none.

@@ -25,6 +25,18 @@ def classify(df: DataFrame, classes: DataFrame, series: str = "exercise_name",
     return df.join(classes, series, "left")
 
 
+def classified_totals(df: DataFrame, classes: DataFrame, by: Sequence[str], sums: Sequence[str],
+                      series: str = "exercise_name", dedupe: Sequence[str] = ()) -> DataFrame:
+    """Per series and ``by`` the number ``n`` of classified rows and their ``sums``, a row counting once per class row.
+
+    A series' rows all meet the same class rows, so they are added up before the join, which then
+    holds a row per series and class row whatever the number of rows.
+    """
+    totals = df.groupBy(series).agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in sums])
+    return classify(totals, classes, series, dedupe).groupBy(series, *by).agg(
+        *[F.sum(c).alias(c) for c in ("n", *sums)])
+
+
 def full_outer_daily(days: DataFrame, rows: DataFrame, on: Sequence[str], fill: Mapping[str, float]) -> DataFrame:
     """Full outer join of ``days`` (one row per ``on``) with ``rows``; NULLs of ``fill`` filled.
 

@@ -340,6 +340,33 @@ def test_classification_fan_out_and_dedupe(frame):
     assert rows(joins.classify(sets, dim, dedupe=["c"])) == [("a", 1, "push"), ("b", 2, None)]
 
 
+def test_classified_totals_are_those_of_the_fanned_out_rows(frame):
+    sets = frame("exercise_name string, r int", [("a", 1), ("a", None), ("a", 4), ("b", None), (None, 7), (None, 8)])
+    dim = frame("exercise_name string, g string, c string", [("a", "x", "push"), ("a", "x", "pull"), ("a", "y", None), (None, "z", "legs")])
+    for by, dedupe in ((["g", "c"], ()), (["g"], ()), (["c"], ("c",))):
+        want = joins.classify(sets, dim, dedupe=dedupe).groupBy("exercise_name", *by).agg(F.count("*").alias("n"), F.sum("r").alias("r"))
+        assert rows(joins.classified_totals(sets, dim, by, ["r"], dedupe=dedupe)) == rows(want)
+
+
+@pytest.mark.parametrize("key", ["classify_join_fanout", "classify_join_dedup"])
+def test_sets_are_added_up_before_they_fan_out(spark, key, tmp_path):
+    """A thousand sets of an exercise with sixty class rows do not become sixty thousand rows."""
+    from daybook import catalog
+
+    spark.range(60).select(
+        "id", F.lit("red rod").alias("p_name"), F.concat(F.lit("Brand#"), "id").alias("p_brand"), F.lit("LARGE").alias("p_type"),
+        F.col("id").cast("int").alias("p_size")).withColumnRenamed("id", "p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(1000).select(
+        (F.col("id") % 60).alias("l_partkey"), F.lit("2024-01-01").cast("timestamp").alias("l_shipdate"), F.lit(1.0).alias("l_extendedprice"),
+        F.lit(2.0).alias("l_quantity"), F.lit(1).alias("l_linenumber")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = catalog.queries()[key](spark, str(tmp_path))
+    got = found.collect()
+    assert sum(r.n for r in got) == 1000 * (60 if key.endswith("fanout") else len(got))
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    (outer,) = [i for i, line in enumerate(plan) if "Join LeftOuter" in line]
+    assert "Aggregate" in plan[outer + 1]
+
+
 # --- labels -----------------------------------------------------------------------------
 
 def test_last_rule_wins(frame):
