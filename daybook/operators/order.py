@@ -151,29 +151,58 @@ def exact_medians(df: DataFrame, value: str, group: Sequence[str], out: str = "m
                   folder: str | None = None) -> DataFrame:
     """(group, median): the exact median of the values that are neither NULL nor NaN, NULL where there is none.
 
-    A group of more than ``bound`` values is cut into parts of its range; only the parts that hold its middle are sorted.
+    In a group of more than ``bound`` values only the range that holds its middle is cut, each time into some 250 shares
+    that are counted, until it holds ``bound`` values at most, which are sorted, or one value however often. A round reads
+    the rows once and settles a row per such group; rows outside the ranges are left behind once they are three in four.
     """
+    folder = folder or shared_folder(df.sparkSession)
     x = F.col(f"`{value}`").cast("double")
     # Minus and plus zero are one value.
     known = df.select(*group, F.when(~F.isnan(x), x + 0.0).alias("_v"))
-    parts = ordered_parts(known.where(F.col("_v").isNotNull()), group, ["_v"], bound, folder)
-    if parts is None:
+    if known.groupBy(*group).agg(F.count("_v").alias("_n")).where(F.col("_n") > bound).isEmpty():
         return known.groupBy(*group).agg(F.median("_v").alias(out))
-    sizes = parts.groupBy("_group", "_path").agg(F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    whole = W.partitionBy("_group")
-    placed = with_offsets(sizes).withColumn("_total", F.sum("_n").over(whole))
-    low, high = F.expr("(_total + 1) div 2"), F.expr("_total div 2 + 1")
-    holds = lambda rank: (F.col("_before") < rank) & (rank <= F.col("_before") + F.col("_n"))
-    middle = placed.where(holds(low) | holds(high))
-    # A part of one value, however many rows, gives that value; others are sorted.
-    flat = middle.where(F.col("_low") == F.col("_high")).select(
-        "_group", "_low", F.when(holds(low), 1).alias("_a"), F.when(holds(high), 1).alias("_b"))
-    rows = parts.join(middle.where(F.col("_low") < F.col("_high")), ["_group", "_path"]).withColumn(
-        "_i", F.row_number().over(W.partitionBy("_group", "_path").orderBy("_v")) + F.col("_before"))
-    steep = rows.where((F.col("_i") == low) | (F.col("_i") == high)).select(
-        "_group", F.col("_v").alias("_low"), F.when(F.col("_i") == low, 1).alias("_a"), F.when(F.col("_i") == high, 1).alias("_b"))
-    both = flat.unionByName(steep).groupBy("_group").agg(
-        F.min(F.when(F.col("_a") == 1, F.col("_low"))).alias("_x"), F.max(F.when(F.col("_b") == 1, F.col("_low"))).alias("_y"))
-    medians = both.select("_group", ((F.col("_x") + F.col("_y")) / 2).alias(out))
-    groups = known.select(*group, F.struct(F.lit(0).alias("_all"), *group).alias("_group")).distinct()
-    return groups.join(medians, "_group", "left").select(*group, out)
+    known = known.select(F.struct(F.lit(0).alias("_all"), *group).alias("_group"), "_v")
+    axis, low, high = _Axis("_v", F.col("_v")), F.col("`_lo _v`"), F.col("`_hi _v`")
+    stats = [F.count("_v").alias("_n"), *axis.stats()]
+    groups = settle(known.groupBy("_group").agg(*stats), "median-groups", folder)
+    light = groups.where(F.col("_n").between(1, bound)).select("_group")
+    medians = known.join(light, "_group", "left_semi").groupBy("_group").agg(F.median("_v").alias(out))
+    rows = known.where(F.col("_v").isNotNull())
+    # Ranks of the two middle values inside the range; ranges are whole groups at first.
+    a, b = F.col("_a"), F.col("_b")
+    open_ = groups.where(F.col("_n") > bound).withColumns({"_a": F.expr("(_n + 1) div 2"), "_b": F.expr("_n div 2 + 1")})
+    held = None
+    while True:
+        # Of two middle values in different shares one is the last and the other the first.
+        open_ = open_.withColumns({
+            end: F.when(rank.isNotNull() & (low == high) | (rank == 1), low).when(rank == F.col("_n"), high)
+            for end, rank in (("_x", a), ("_y", b))})
+        is_open = F.col("_x").isNull() & a.isNotNull() | F.col("_y").isNull() & b.isNotNull()
+        found = open_.where(~is_open).groupBy("_group").agg(((F.max("_x") + F.max("_y")) / 2).alias(out))
+        left = open_.where(is_open)
+        medians = medians.unionByName(found)
+        few = left.where(F.col("_n") <= bound)
+        ranked = _inside(rows, few).withColumn("_i", F.row_number().over(W.partitionBy("_group").orderBy("_v")))
+        sorted_ = ranked.where((F.col("_i") == a) | (F.col("_i") == b)).groupBy("_group").agg(((F.min("_v") + F.max("_v")) / 2).alias(out))
+        many = left.where(F.col("_n") > bound)
+        numbers = left.agg(F.count("*"), F.sum("_n"), F.count_if(F.col("_n") > bound)).first()
+        if numbers[0] > numbers[2]:
+            medians = medians.unionByName(settle(sorted_, "medians", folder))
+        if not numbers[2]:
+            break
+        if held is not None and numbers[1] * 4 < held:
+            rows, held = settle(_inside(rows, many).select("_group", "_v"), "median-rows", folder), numbers[1]
+        held = numbers[1] if held is None else held
+        bins = _inside(rows, many).groupBy("_group", "_a", "_b", axis.code().alias("_bin")).agg(*stats)
+        earlier = W.partitionBy("_group").orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
+        before = F.col("_before")
+        placed = bins.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).withColumns({
+            r: F.when((before < F.col(r)) & (F.col(r) <= before + F.col("_n")), F.col(r) - before) for r in ("_a", "_b")})
+        open_ = settle(placed.where(a.isNotNull() | b.isNotNull()).drop("_bin", "_before"), "median-ranges", folder)
+    own = [F.col("_group").getField(c).alias(c) for c in group]
+    return groups.select("_group").join(medians, "_group", "left").select(*own, out)
+
+
+def _inside(rows: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The rows that lie in the range of their group, with what is known of it."""
+    return rows.join(ranges, "_group").where(F.col("_v").between(F.col("`_lo _v`"), F.col("`_hi _v`")))

@@ -2,6 +2,7 @@
 
 import math
 import random
+import statistics
 
 import pytest
 from pyspark.sql import Window as W, functions as F
@@ -53,6 +54,30 @@ def test_exact_medians(table, bound):
     assert all(found[r.k, r.r] == pytest.approx(r.m, rel=1e-12) for r in want)
 
 
+def test_medians_of_heavy_groups_cut_their_middle_only(spark, monkeypatch):
+    """Even, skewed, tied, gapped and infinite groups; what is settled does not grow with the values outside the middle."""
+    rng, inf = random.Random(7), float("inf")
+    values = {
+        "even": [float(i) for i in range(2000)], "odd": [rng.gauss(0, 1) for _ in range(1501)],
+        "steep": [10.0 ** rng.uniform(-30, 30) for _ in range(1000)], "tied": [1.0] * 500 + [2.0] * 500,
+        "gap": [-5.0 - i for i in range(300)] + [7.0 + i for i in range(300)], "ends": [-inf] * 40 + [3.0, 4.0, 4.5] + [inf] * 40,
+        "few": [2.0, 9.0], "none": [None, float("nan")], None: [float(i % 50) for i in range(900)], "zero": [0.0, -0.0] * 30}
+    rows = [(k, v) for k, vs in values.items() for v in vs]
+    rng.shuffle(rows)
+    kept = []
+    real = order.settle
+
+    def settle(df, name, folder):
+        kept.append(real(df, name, folder))
+        return kept[-1]
+
+    monkeypatch.setattr(order, "settle", settle)
+    got = {r.k: r.median for r in order.exact_medians(spark.createDataFrame(rows, "k string, v double"), "v", ["k"], bound=8).collect()}
+    want = {k: statistics.median(known) if (known := [v for v in vs if v is not None and v == v]) else None for k, vs in values.items()}
+    assert got == {k: pytest.approx(v, rel=1e-12) if v is not None else None for k, v in want.items()}
+    assert sum(df.count() for df in kept if "_v" not in df.columns) < 100
+
+
 def test_dates_times_and_flags_are_cut(spark):
     rows = spark.range(600).select(
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 40).cast("int")).alias("d"),
