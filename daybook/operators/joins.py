@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from daybook.functions.numeric import null_if_nan
 from daybook.operators.order import micros
+from daybook.operators.settle import settle
+from daybook.session import shared_folder
 
 # output column -> (kind of measurement, "avg" | "sum")
 Wanted = Mapping[str, tuple[str, str]]
@@ -55,29 +57,26 @@ def full_outer_daily(days: DataFrame, rows: DataFrame, on: Sequence[str], fill:
 _CELL, _WIDE, _FINE = 26, 2, 3
 # Cells are counted from a time before all times.
 _ZERO = 1 << 37
+# An interval whose slots of time hold this many measurements each, or fewer, meets them one by one.
+_FEW = 32
 _GROUP = "struct<side: int, level: int, a: bigint, b: bigint, fine: int, block: bigint>"
 
 
 def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Wanted,
                      keys: Sequence[str] = (), start: str = "start", end: str = "end",
                      m_start: str = "start", m_end: str | None = "end", kind: str = "type",
-                     value: str = "value") -> DataFrame:
+                     value: str = "value", folder: str | None = None) -> DataFrame:
     """Average or sum of the measurements lying inside each interval; NULL where none do.
 
     A measurement lies inside when it starts at or after the interval's start and ends at or
     before its end; one that ends before it starts lies in none.  NaN counts as NULL.
     ``m_end=None`` declares instantaneous measurements.
 
-    Time is cut into cells of about a minute, and these into a tree of aligned blocks.  A
-    measurement belongs to the smallest block that holds it, nearly always a cell.  An interval
-    adds up three things: the totals of the few blocks that make up the cells between its first
-    and its last; of the blocks that hold only its start or only its end, the measurements that
-    start no earlier or end no later, by running totals; and in the one block that holds both,
-    the measurements between the same parts of it, which the times of their ends cut once more.
-    Totals are only ever added, so a value outside an interval cannot touch it, and nothing is
-    paired: a measurement in a cell becomes two rows, an hour some fifteen.  Only groups that
-    some interval reads are sorted.  Intervals of equal keys, start and end are looked up once;
-    whole rows meet the totals in a single join.
+    Time is cut into slots hardly longer than the interval, which then lies in two of them at most.
+    Where both hold few measurements, the interval meets each of these; other intervals look up
+    totals in a tree (``_by_tree``), so that nothing is paired where measurements are dense.
+    Intervals of equal keys, start and end are looked up once, as are measurements of equal keys
+    and times; both are settled below ``folder``, and whole rows meet the totals in a single join.
     """
     # Per kind: summed value (x), non-NULL values (n), rows (r).
     v = null_if_nan(F.col(value).cast("double"))
@@ -91,14 +90,56 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
     sums = [F.sum(t).alias(t) for t in totals]
     stamps = [(m_start, m_end or m_start, measurements), (start, end, intervals)]
     times = [[micros(F.col(c), df.schema[c].dataType.typeName()) for c in (i, j)] for i, j, df in stamps]
-    wide = _placed(
+    folder = folder or shared_folder(intervals.sparkSession)
+    wide = settle(
         measurements.where(F.col(kind).isin(kinds))
         .groupBy(*keys, times[0][0].alias("_s"), times[0][1].alias("_e"))
-        .agg(*[F.sum(c).alias(t) for t, c in totals.items()]).where("_s <= _e"))
+        .agg(*[F.sum(c).alias(t) for t, c in totals.items()]).where("_s <= _e"), "interval-measurements", folder)
     of_interval = [*keys, start, end]
-    spans = _placed(intervals.select(*of_interval).distinct().select(
-        "*", times[1][0].alias("_s"), times[1][1].alias("_e")).where("_s <= _e"))
+    spans = settle(intervals.select(*of_interval).distinct().select(
+        "*", times[1][0].alias("_s"), times[1][1].alias("_e")).where("_s <= _e"), "intervals", folder)
+
+    # Slots of 2 ** _b microseconds, more than the interval has.
+    sized = spans.withColumn("_b", F.expr(f"cast({_CELL} + {_WIDE} * ((greatest(0, length(bin(_e - _s)) - {_CELL}) + {_WIDE - 1}) div {_WIDE}) as int)"))
+    bits = [F.lit(r[0]) for r in sized.select("_b").distinct().collect()]
+    slot = [*keys, "_b", "_slot"]
+    pieces = sized.withColumn("_slot", F.explode(F.expr("sequence(shiftright(_s, _b), shiftright(_e, _b))")))
+    near = wide.withColumn("_b", F.explode(F.array(*bits) if bits else F.array().cast("array<int>"))).withColumn("_slot", F.expr("shiftright(_s, _b)"))
+    dense = settle(near.groupBy(*slot).agg(F.count("*").alias("_n")).where(F.col("_n") > _FEW).select(*slot), "dense-slots", folder)
+    crowded = None
+    if not dense.isEmpty():
+        crowded = settle(pieces.join(dense, slot, "left_semi").select(*spans.columns).distinct(), "crowded-intervals", folder)
+        pieces = pieces.join(crowded.select(*of_interval), of_interval, "left_anti")
+        near = near.join(dense, slot, "left_anti")
+    met = pieces.join(near.withColumnsRenamed({"_s": "_from", "_e": "_to"}), slot).where("_s <= _from and _to <= _e")
+    found = met.groupBy(*of_interval).agg(*sums)
+    if crowded is not None:
+        found = found.unionByName(_by_tree(crowded, wide, keys, of_interval, list(totals)))
+    out = []
+    for name, (k, how) in wanted.items():
+        x, n, r = (F.col(f"_{c}_{kinds.index(k)}") for c in "xnr")
+        if how == "avg":
+            out.append(F.when(n > 0, x / n).alias(name))
+        else:
+            out.append(F.when((r > 0) & (n == 0), F.lit(0.0)).when(n > 0, x).alias(name))
+    return intervals.join(found, of_interval, "left").select(*[F.col(f"`{c}`") for c in intervals.columns], *out)
+
+
+def _by_tree(spans: DataFrame, wide: DataFrame, keys: Sequence[str], of_interval: Sequence[str], totals: Sequence[str]) -> DataFrame:
+    """Per interval of ``spans``, from ``_s`` to ``_e``, the sums of the ``totals`` of the rows of ``wide`` inside it.
 
+    Time is cut into cells of about a minute, and these into a tree of aligned blocks.  A
+    measurement belongs to the smallest block that holds it, nearly always a cell.  An interval
+    adds up three things: the totals of the few blocks that make up the cells between its first
+    and its last; of the blocks that hold only its start or only its end, the measurements that
+    start no earlier or end no later, by running totals; and in the one block that holds both,
+    the measurements between the same parts of it, which the times of their ends cut once more.
+    Totals are only ever added, so a value outside an interval cannot touch it, and nothing is
+    paired: a measurement in a cell becomes two rows, an hour some fifteen.  Only groups that
+    some interval reads are sorted.
+    """
+    sums = [F.sum(t).alias(t) for t in totals]
+    spans, wide = _placed(spans), _placed(wide)
     # Whole blocks between the first and the last cell.
     between = _pieces(spans.select(*of_interval, F.expr("_c0 + 1").alias("_s"), F.expr("_c1 - 1").alias("_e")).where("_s <= _e"), _WIDE)
     top = between.agg(F.coalesce(F.max("_level"), F.lit(-1))).scalar()
@@ -141,15 +182,7 @@ def enrich_intervals(intervals: DataFrame, measurements: DataFrame, wanted: Want
     later = W.partitionBy(*keys, "g").orderBy(F.desc("at"), "_read").rowsBetween(W.unboundedPreceding, 0)
     partly = line.select(*of_interval, "_read", *[F.sum(t).over(later).alias(t) for t in totals]).where("_read = 1")
     read = inside.unionByName(partly.drop("_read"))
-    found = read.groupBy(*of_interval).agg(*sums)
-    out = []
-    for name, (k, how) in wanted.items():
-        x, n, r = (F.col(f"_{c}_{kinds.index(k)}") for c in "xnr")
-        if how == "avg":
-            out.append(F.when(n > 0, x / n).alias(name))
-        else:
-            out.append(F.when((r > 0) & (n == 0), F.lit(0.0)).when(n > 0, x).alias(name))
-    return intervals.join(found, of_interval, "left").select(*[F.col(f"`{c}`") for c in intervals.columns], *out)
+    return read.groupBy(*of_interval).agg(*sums)
 
 
 def _placed(times: DataFrame) -> DataFrame:
