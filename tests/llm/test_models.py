@@ -317,6 +317,34 @@ def test_crowded_slots_keep_their_ratio():
     assert np.count_nonzero(table) == 3 and not mixing._table(np.empty(0, np.uint32), 10).any()
 
 
+def test_counted_steps_are_hashed_once(monkeypatch):
+    """The run over counted symbols takes their steps and slots from the counting; parts of a block change nothing."""
+    monkeypatch.setattr(mixing, "_BLOCK", 64)
+    words = np.random.default_rng(4).integers(-1, 6, 300)
+    symbols, give, asked = words + 1, mixing.word_contexts(words), []
+    mixer = mixing.Mixer(mixing.Code(np.bincount(symbols)), symbols, lambda a, b: asked.append((a, b)) or give(a, b))
+    once = len(asked)
+    want = np.concatenate([mixer.block(symbols[i:i + 64], give(i, min(i + 64, 300)), True, False) for i in range(0, 300, 64)])
+    monkeypatch.setattr(mixing, "_STEPS", 48)
+    found = mixer.run(symbols, lambda a, b: asked.append((a, b)) or give(a, b), True, False)
+    assert found.tolist() == want.tolist() and len(asked) == once == 5
+
+
+def test_words_come_in_runs_and_are_numbered_as_they_come(monkeypatch):
+    monkeypatch.setattr(mixing, "_PIECE", 8)
+    monkeypatch.setattr(mixing, "_KEEP", 12)
+    texts = [None, "", " \t", "  A b\u00c0\x0b", "x" * 30, "a b c d e f g h i J k ", "\x1c y\x85z\n\na", "B"]
+    want = [(t or "").encode().translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")).split() for t in texts]
+    flat = [w for own in want for w in own]
+    for at in (0, 3):  # also of a slice
+        shard = mixing.Shard()
+        shard.add([*range(at, len(texts))], np.zeros(len(texts) - at, bool), pa.array(["q", *texts], pa.string()).slice(1 + at))
+        shard.number()
+        assert shard.words.to_pylist() == list(dict.fromkeys(flat)) and shard.sizes.tolist() == [len(w) for w in want[at:]]
+        assert [shard.words[i].as_py() for i in shard.found.tolist()] == flat
+        assert shard.bytes.tolist() == [len((t or "").encode()) for t in texts[at:]]
+
+
 def test_shards_do_not_depend_on_tasks(spark, unique_docs):
     """Several shards; the same scores however the rows lie in partitions."""
     first = mixing.language_model_scores(unique_docs.repartition(1), shard_bytes=40_000).collect()
